@@ -9,7 +9,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from parcelwise.models.estimators import evaluate, gradient_boosting
 
@@ -72,10 +71,15 @@ def random_search(
 
 
 def search_history(studies: DataFrame, study: str, document: str) -> DataFrame:
-    """Trials of search documents `{"trials": [{"value": x}, ...]}` with the best value so far."""
+    """Trials of search documents `{"trials": [{"value": x}, ...]}` with the best value so far.
+
+    A document holds all trials of its study, so the running minimum is taken inside the row."""
     parsed = F.from_json(document, "trials ARRAY<STRUCT<value: DOUBLE>>")
-    trials = studies.select(study, F.posexplode(parsed["trials"]).alias("trial", "__t"))
-    upto = Window.partitionBy(study).orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
-    return trials.select(
-        study, "trial", F.col("__t.value").alias("value"), F.min("__t.value").over(upto).alias("best_so_far")
+    values = studies.select(study, parsed["trials"]["value"].alias("__values"))
+    steps = F.transform(
+        "__values",
+        lambda v, i: F.struct(
+            i.alias("trial"), v.alias("value"), F.array_min(F.slice("__values", 1, i + 1)).alias("best_so_far")
+        ),
     )
+    return values.select(study, F.inline(steps))

@@ -31,9 +31,11 @@ def frequency_index(df: DataFrame, column: str, out: str) -> DataFrame:
     return join_keys(df, ranked.select(column, (F.col("__rank") - 1).cast("double").alias(out)), [column])
 
 
-def one_hot_vector(df: DataFrame, column: str, out: str) -> PipelineModel:
-    """Fitted index and one-hot encoder; the last category is the all-zero vector."""
-    index = StringIndexer(inputCol=column, outputCol=f"{column}_index", handleInvalid="keep")
+def one_hot_vector(df: DataFrame, column: str, out: str, invalid: str = "error") -> PipelineModel:
+    """Fitted index and one-hot encoder; the rarest category is the all-zero vector.
+
+    The index holds its labels on the driver, so it suits columns whose categories are few."""
+    index = StringIndexer(inputCol=column, outputCol=f"{column}_index", handleInvalid=invalid)
     return Pipeline(stages=[index, OneHotEncoder(inputCol=f"{column}_index", outputCol=out)]).fit(df)
 
 

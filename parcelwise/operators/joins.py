@@ -48,7 +48,8 @@ def point_in_time(
     """Add the newest feature row of each entity at or before its timestamp and within the TTL.
 
     History and spine go into one frame sorted per entity; each spine row takes the last history
-    row seen. Equal event times are decided by the created time."""
+    row seen. Equal event times are decided by the created time, then by the values of all features
+    of the view, so the chosen row does not depend on which features are asked for."""
     features = list(features or view.features)
     clash = [f"{prefix}{f}" for f in features if f"{prefix}{f}" in spine.columns]
     if clash:
@@ -59,7 +60,7 @@ def point_in_time(
         F.col(view.event).alias("__ts"),
         F.lit(0).alias("__side"),
         F.col(view.created).alias("__created"),
-        F.struct(*features).alias("__tie"),
+        F.struct(*view.features).alias("__tie"),
         payload.alias("__feature"),
     )
     asked = spine.select(

@@ -54,7 +54,8 @@ def _from_counts(df, cols, probs, keys, max_rows) -> DataFrame:
         pos = F.lit(float(p)) * (F.col("total") - 1)
         lower, upper = F.floor(pos), F.ceil(pos)
         mixed = (upper - pos) * F.col(f"lo{i}") + (pos - lower) * F.col(f"hi{i}")
-        values.append(F.when(lower == upper, F.col(f"lo{i}")).otherwise(mixed))
+        same = (lower == upper) | (F.col(f"lo{i}") == F.col(f"hi{i}"))
+        values.append(F.when(same, F.col(f"lo{i}")).otherwise(mixed))
     arrays = found.select(*by, F.array(*values).alias("values"))
     wide = [F.first(F.when(F.col("column") == c, F.col("values")), ignorenulls=True).alias(c) for c in cols]
     return arrays.groupBy(*keys).agg(*wide)

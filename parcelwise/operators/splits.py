@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from parcelwise.operators.ordering import day_number, rank_within
 from parcelwise.scale import MAX_GROUP_ROWS
@@ -118,7 +119,9 @@ def backtest_periods(
         .groupBy("period")
         .agg(F.count(F.lit(1)).alias("n_test"))
     )
-    train = running_before(counts)
+    # One row per period of the date range, so this window stays small however many sales there are.
+    earlier = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    train = counts.withColumn("n_train", F.coalesce(F.sum("n_test").over(earlier), F.lit(0)))
     span = F.make_dt_interval(F.col("period") * F.lit(days or 0))
     window_start = first + span
     window_end = last if days is None else window_start + F.make_dt_interval(F.lit(days))
@@ -127,18 +130,6 @@ def backtest_periods(
     )
 
 
-def running_before(counts: DataFrame) -> DataFrame:
-    """Rows in earlier periods, by an aggregate over the (few) periods themselves."""
-    later = counts.select(F.col("period").alias("__p"), F.col("n_test").alias("__n"))
-    listed = later.agg(F.collect_list(F.struct("__p", "__n")).alias("__all")).scalar()
-    before = F.aggregate(
-        F.filter(listed, lambda e: e["__p"] < F.col("period")),
-        F.lit(0).cast("long"),
-        lambda acc, e: acc + e["__n"],
-    )
-    return counts.withColumn("n_train", before)
-
-
 def period_rows(df: DataFrame, ts: str, start: datetime, end: datetime) -> tuple[DataFrame, DataFrame]:
     """(training rows before the period, test rows inside it)."""
     first, last = (F.lit(t).cast("timestamp_ntz") for t in (start, end))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -261,36 +260,52 @@ def validation_report(
     rules: Sequence[Rule] = SALE_RULES,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Every check as rows (check, column, value, passed); missing, outliers and drift inform only."""
-    spark = df.sparkSession
-    cols = [c for c in numeric_columns(df) if c not in row_key]
-    shape = spark.createDataFrame(
-        [(check, column, 0.0 if ok else 1.0, ok) for check, column, ok in schema_checks(df, rules)],
-        "check STRING, column STRING, value DOUBLE, passed BOOLEAN",
-    )
+    """Every check as rows (check, column, value, passed); missing, outliers and drift inform only.
 
-    def counted(results: DataFrame) -> DataFrame:
-        return results.select(
-            F.col("expectation").alias("check"),
-            "column",
-            F.col("unexpected_count").cast("double").alias("value"),
-            F.col("success").alias("passed"),
+    Range violations and missing shares of all columns come from one aggregation."""
+    cols = [c for c in numeric_columns(df) if c not in row_key]
+    unknown = F.lit(None).cast("boolean")
+
+    def entry(check: str, column: str, value: Column, passed: Column) -> Column:
+        return F.struct(
+            F.lit(check).alias("check"),
+            F.lit(column).alias("column"),
+            value.cast("double").alias("value"),
+            passed.alias("passed"),
         )
 
-    def informed(check: str, table: DataFrame, value: Column) -> DataFrame:
-        unknown = F.lit(None).cast("boolean")
-        return table.select(F.lit(check).alias("check"), "column", value.cast("double").alias("value"), unknown.alias("passed"))
+    def informed(check: str, table: DataFrame, value: str) -> DataFrame:
+        return table.select(
+            F.lit(check).alias("check"), "column", F.col(value).cast("double").alias("value"), unknown.alias("passed")
+        )
 
-    report = shape.unionByName(counted(range_checks(df, rules)))
+    ranged = [r for r in rules if r.low is not None and r.column in df.columns]
+    flat = df.agg(
+        *[F.count_if(outside(df, r)).alias(f"range_{r.column}") for r in ranged],
+        *[F.avg(missing(df, c).cast("double")).alias(f"missing_{c}") for c in df.columns],
+    )
+    entries = [entry(check, c, F.lit(0 if ok else 1), F.lit(ok)) for check, c, ok in schema_checks(df, rules)]
+    entries += [
+        entry("range", r.column, F.col(f"range_{r.column}"), F.col(f"range_{r.column}") == 0) for r in ranged
+    ]
+    entries += [entry("missing_share", c, F.col(f"missing_{c}"), unknown) for c in df.columns]
+    report = flat.select(F.inline(F.array(*entries)))
     unique = [r.column for r in rules if r.unique and r.column in df.columns]
     if unique:
-        report = report.unionByName(counted(unique_checks(df, unique)))
-    report = report.unionByName(informed("missing_share", missing_shares(df), F.col("missing_share")))
+        repeated = unique_checks(df, unique)
+        report = report.unionByName(
+            repeated.select(
+                F.col("expectation").alias("check"),
+                "column",
+                F.col("unexpected_count").cast("double").alias("value"),
+                F.col("success").alias("passed"),
+            )
+        )
     outliers = outliers_iqr(df, row_key, cols, max_rows=max_rows).groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    report = report.unionByName(informed("outliers", outliers, F.col("n")))
+    report = report.unionByName(informed("outliers", outliers, "n"))
     if reference is not None:
         drift = ks_two_sample(df, reference, cols, max_rows)
-        report = report.unionByName(informed("drift", drift, F.col("ks_statistic")))
+        report = report.unionByName(informed("drift", drift, "ks_statistic"))
     return report
 
 
