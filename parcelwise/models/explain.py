@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.operators.ordering import rank_within
 from parcelwise.operators.splits import hash_share
+from parcelwise.scale import written
 
 HASH_BUCKETS = 4096
 
@@ -36,7 +37,7 @@ def permutation_importance(
         "__h", hash_share(keys, seed)
     )
     bucket = F.floor(F.col("__h") * HASH_BUCKETS)
-    numbered = rank_within(base, [], ["__h", *keys], "__pos", bucket)
+    numbered = written(rank_within(base, [], ["__h", *keys], "__pos", bucket), "numbered")
     n = df.count()
     donors = numbered.select(
         (F.pmod(F.col("__pos") - 1 + n // 2, F.lit(n)) + 1).alias("__pos"), F.col("x").alias("donor")

@@ -53,16 +53,20 @@ def admissions(
     if not blocks.split:
         return _walk(blocks.df.withColumn("__carried", _no_times()), key, ts, tie, limit, window, plain)
     base = written(blocks.df, "calls")
-    carried = base.select(key, BLOCK).distinct().withColumn("__carried", _no_times())
+    none = base.select(key, BLOCK).distinct().withColumn("__carried", _no_times())
+    ends = written(_ends(_with_carry(base, none, key), key, limit, window, plain), "ends")
+    before = Window.partitionBy(key).orderBy(BLOCK)
     while True:
-        ends = _ends(_with_carry(base, carried, key), key, limit, window, plain)
-        before = F.lag("__live").over(Window.partitionBy(key).orderBy(BLOCK))
-        moved = ends.select(key, BLOCK, F.coalesce(before, _no_times()).alias("__next"))
-        following = written(join_keys(carried, moved, [key, BLOCK]), "carried")
-        changed = following.filter(~F.col("__carried").eqNullSafe(F.col("__next"))).limit(1).count()
-        carried = following.select(key, BLOCK, F.col("__next").alias("__carried"))
-        if not changed:
+        arriving = F.coalesce(F.lag("__live").over(before), _no_times())
+        following = written(ends.withColumn("__next", arriving), "arriving")
+        stale = following.filter(F.col("__carried") != F.col("__next"))
+        again = stale.select(key, BLOCK, F.col("__next").alias("__carried"))
+        if again.isEmpty():
+            carried = following.select(key, BLOCK, "__carried")
             return _walk(_with_carry(base, carried, key), key, ts, tie, limit, window, plain)
+        kept = following.filter(F.col("__carried") == F.col("__next")).drop("__next")
+        walked = _ends(_with_carry(base, again, key, "inner"), key, limit, window, plain)
+        ends = written(kept.unionByName(walked), "ends")
 
 
 def _types(df: DataFrame, *cols: str) -> dict[str, str]:
@@ -73,8 +77,8 @@ def _no_times() -> Column:
     return F.array().cast("array<bigint>")
 
 
-def _with_carry(base: DataFrame, carried: DataFrame, key: str) -> DataFrame:
-    return join_keys(base, lookup_side(carried), [key, BLOCK])
+def _with_carry(base: DataFrame, carried: DataFrame, key: str, how: str = "left") -> DataFrame:
+    return join_keys(base, lookup_side(carried), [key, BLOCK], how)
 
 
 def _walk(df, key, ts, tie, limit, window, types) -> DataFrame:
@@ -90,8 +94,9 @@ def _walk(df, key, ts, tie, limit, window, types) -> DataFrame:
 def _ends(df, key, limit, window, types) -> DataFrame:
     def end(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
         times = sorted(group["__t"].tolist())
-        _, live = admit(times, list(group["__carried"].iloc[0]), limit, window)
-        return pd.DataFrame({key: [keys[0]], BLOCK: [keys[1]], "__live": [live]})
+        carried = list(group["__carried"].iloc[0])
+        _, live = admit(times, carried, limit, window)
+        return pd.DataFrame({key: [keys[0]], BLOCK: [keys[1]], "__carried": [carried], "__live": [live]})
 
-    schema = f"`{key}` {types[key]}, {BLOCK} bigint, __live array<bigint>"
+    schema = f"`{key}` {types[key]}, {BLOCK} bigint, __carried array<bigint>, __live array<bigint>"
     return df.select(key, BLOCK, "__t", "__carried").groupBy(key, BLOCK).applyInPandas(end, schema)

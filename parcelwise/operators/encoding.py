@@ -19,9 +19,9 @@ from parcelwise.operators.quantiles import quantile_values
 from parcelwise.scale import MAX_GROUP_ROWS, join_keys, small_rows
 
 
-def frequency_index(df: DataFrame, column: str, out: str) -> DataFrame:
+def frequency_index(df: DataFrame, column: str, out: str, sizes: DataFrame | None = None) -> DataFrame:
     """Category number by falling frequency; equal frequencies in value order."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
     small = small_rows(counts)
     if small is not None:
         place = F.row_number().over(Window.orderBy(F.desc("n"), column))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, largest_group, lookup_side, small_rows, written
+from parcelwise.scale import MAX_GROUP_ROWS, join_keys, largest_group, small_rows, written
 
 BLOCK = "__block"
 
@@ -32,10 +32,20 @@ def day_number(ts: Column) -> Column:
     return F.unix_date(F.to_date(ts)).cast("long")
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[DataFrame | None, DataFrame]:
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as `n`, held locally if the keys are few. Operators on the same keys can share it."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    local = small_rows(sizes)
+    return sizes if local is None else local
+
+
+def split_hot(
+    df: DataFrame, keys: Sequence[str], max_rows: int, sizes: DataFrame | None = None
+) -> tuple[DataFrame | None, DataFrame]:
     """(rows of keys above `max_rows` or None, remaining rows)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
-    hot = sizes.drop("__n")
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.filter(F.col("n") > max_rows).select(*keys)
     local = small_rows(hot)
     if local is not None and local.isEmpty():
         return None, df
@@ -164,6 +174,7 @@ def rolling_rows(
     outputs: dict[str, tuple[str, int]],
     bucket: Column | None = None,
     max_rows: int = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add means over the previous n rows, current row excluded: `{output: (column, n)}`.
 
@@ -175,7 +186,7 @@ def rolling_rows(
             frame = frame.withColumn(out, F.avg(value).over(w.rowsBetween(-n, -1)))
         return frame
 
-    heavy, light = split_hot(df, keys, max_rows)
+    heavy, light = split_hot(df, keys, max_rows, sizes)
     if heavy is None:
         return averaged(df, keys, order)
     reach = max(n for _, n in outputs.values())

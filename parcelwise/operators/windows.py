@@ -20,13 +20,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def percent_rank_within(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    max_rows: int = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """(rank - 1) / (rows - 1) of `value` within the group, 0 for a single row.
 
     For hot keys the rank comes from running totals over counted values instead of one sort."""
     ranked = F.percent_rank().over(Window.partitionBy(*keys).orderBy(value))
-    heavy, light = split_hot(df, keys, max_rows)
+    heavy, light = split_hot(df, keys, max_rows, sizes)
     if heavy is None:
         return df.withColumn(out, ranked)
     counts = heavy.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelwise.functions.features import age_features, log_features, log_target, price_room_features
 from parcelwise.operators.cleaning import domain_filter, fill_constants
 from parcelwise.operators.encoding import frequency_index
-from parcelwise.operators.ordering import day_number, rolling_rows
+from parcelwise.operators.ordering import day_number, key_sizes, rolling_rows
 from parcelwise.operators.windows import percent_rank_within
 from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, ORDER_SQL, near, query, rnd, with_sales
 from parcelwise.sources.sample_tables import sales_dirty
@@ -21,16 +22,19 @@ def feature_job(rows: DataFrame, order: list[str], max_rows: int | None = None)
     bound = {} if max_rows is None else {"max_rows": max_rows}
     clean = domain_filter(fill_constants(rows))
     derived = log_features(price_room_features(age_features(clean))).withColumn("log_price", log_target())
-    indexed = frequency_index(derived, "zipcode", "zipcode_index")
+    # One count per zipcode serves the index and the search for hot zipcodes.
+    sizes = key_sizes(clean, ["zipcode"])
+    indexed = frequency_index(derived, "zipcode", "zipcode_index", sizes)
     rolled = rolling_rows(
         indexed,
         ["zipcode"],
         order,
         {"rolling_avg_price_30d": ("price", 30), "rolling_avg_price_90d": ("price", 90)},
-        day_number(derived["sale_date"]),
+        day_number(F.col("sale_date")),
+        sizes=sizes,
         **bound,
     )
-    return percent_rank_within(rolled, ["zipcode"], "price", "price_rank_zipcode", **bound)
+    return percent_rank_within(rolled, ["zipcode"], "price", "price_rank_zipcode", sizes=sizes, **bound)
 
 
 ROLL = "avg(price) OVER (PARTITION BY zipcode ORDER BY {} ROWS BETWEEN {} PRECEDING AND 1 PRECEDING)"

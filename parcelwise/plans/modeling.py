@@ -330,7 +330,7 @@ def m14(spark, folder):
     "m14_ensemble_of_rows",
     with_sales(
         f"""SELECT member_rows.row_id, {rnd("sum(weight * prediction) / sum(weight)")} AS ensemble,
-              {rnd("var_pop(prediction)", 2)} AS variance
+              {rnd("var_pop(prediction) / 1e6")} AS variance_1e6
             FROM (SELECT row_id, 'm1' AS member, m1 AS prediction FROM keyed UNION ALL SELECT row_id, 'm2', m2 FROM keyed
                   UNION ALL SELECT row_id, 'm3', m3 FROM keyed) member_rows
             JOIN (SELECT 'm1' AS member, CAST(0.5 AS DOUBLE) AS weight UNION ALL SELECT 'm2', 0.25
@@ -348,7 +348,7 @@ def m14_rows(spark, folder):
     weights = scoring.normalized_weights(list(MEMBERS.values()))
     table_of_weights = spark.createDataFrame(list(zip(MEMBERS, weights)), "member STRING, weight DOUBLE")
     rows = scoring.ensemble_long(long, table_of_weights)
-    return rows.select("row_id", near("ensemble").alias("ensemble"), near("variance", 2).alias("variance"))
+    return rows.select("row_id", near("ensemble").alias("ensemble"), near(F.col("variance") / 1e6).alias("variance_1e6"))
 
 
 PLAIN = "((m1 + m2 + m3) / 3)"
@@ -358,7 +358,7 @@ VARIANCE = f"(((m1 - {PLAIN}) * (m1 - {PLAIN}) + (m2 - {PLAIN}) * (m2 - {PLAIN})
 @query(
     "m15_ensemble_spread",
     with_sales(
-        f"""SELECT {ID_SQL}, {rnd(VARIANCE, 2)} AS variance, {rnd(f"sqrt({VARIANCE})")} AS std,
+        f"""SELECT {ID_SQL}, {rnd(f"{VARIANCE} / 1e6")} AS variance_1e6, {rnd(f"sqrt({VARIANCE})")} AS std,
               {rnd(f"(2 * m1 + m2 + m3) / 4 - 1.96 * sqrt({VARIANCE})", 3)} AS lower,
               {rnd(f"(2 * m1 + m2 + m3) / 4 + 1.96 * sqrt({VARIANCE})", 3)} AS upper FROM members""",
         MEMBER_SQL,
@@ -368,7 +368,7 @@ def m15(spark, folder):
     rows = scoring.ensemble(_members(spark, folder), MEMBERS)
     return rows.select(
         *ID,
-        near("variance", 2).alias("variance"),
+        near(F.col("variance") / 1e6).alias("variance_1e6"),
         near("std").alias("std"),
         near("lower", 3).alias("lower"),
         near("upper", 3).alias("upper"),

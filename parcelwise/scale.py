@@ -12,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 MAX_GROUP_ROWS = 2_000_000
 """Rows one task may sort or buffer as a single group."""
@@ -51,10 +54,21 @@ def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Data
 
 def small_rows(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame | None:
     """`df` as a local frame if it has at most `max_rows` rows, else None."""
-    fetched = df.limit(max_rows + 1).toArrow()
-    if fetched.num_rows > max_rows:
+    bounded = df.limit(max_rows + 1)
+    if any(isinstance(f.dataType, NESTED) for f in df.schema.fields):
+        # Arrow refuses a null struct whose fields are declared non-null, so nested rows come as objects.
+        fetched = bounded.collect()
+        count = len(fetched)
+    else:
+        fetched = bounded.toArrow()
+        count = fetched.num_rows
+    if count > max_rows:
         return None
-    return df.sparkSession.createDataFrame(fetched, schema=df.schema)
+    return df.sparkSession.createDataFrame(fetched, schema=_nullable(df.schema))
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def lookup_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:

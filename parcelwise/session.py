@@ -15,8 +15,23 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "parcelwise", master: str | None = None, **conf: str) -> SparkSession:
-    """Get or create a session. `master` stays unset on a cluster, where spark-submit names it."""
+SHUFFLE_BYTES = 256 * 1024**2
+"""Shuffle data one task should read."""
+
+
+def shuffle_width(input_bytes: int, floor: int = 200) -> int:
+    """Shuffle partitions for an input of this size; adaptive execution merges the small ones."""
+    return max(floor, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def build_session(
+    app: str = "parcelwise", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Get or create a session. `master` stays unset on a cluster, where spark-submit names it.
+
+    `input_bytes` sizes the shuffles: 100 TB gives some 400 000 partitions of 256 MB."""
+    if input_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_width(input_bytes)), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
