@@ -31,12 +31,18 @@ class DriftBins:
     shares: dict[str, list[float]]
 
 
-def _bin_counts(edges: dict[str, list[float]]) -> list[Column]:
-    return [
-        F.count_if(bin_number(c, cuts) == i).alias(f"{c}__{i}")
-        for c, cuts in edges.items()
-        for i in range(len(cuts) + 1)
-    ]
+def _edge_counts(edges: dict[str, list[float]]) -> list[Column]:
+    """Values per feature and values above each edge: one comparison per edge and row."""
+    counts = []
+    for c, cuts in edges.items():
+        counts.append(F.count(c).alias(f"{c}__0"))
+        counts += [F.count_if(F.col(c) > F.lit(e)).alias(f"{c}__{i}") for i, e in enumerate(cuts, 1)]
+    return counts
+
+
+def _bin_counts(above: list) -> list:
+    """Values per bin as differences of the counts above neighbouring edges."""
+    return [n - following for n, following in zip(above, above[1:])] + [above[-1]]
 
 
 def fit_drift_bins(
@@ -45,10 +51,10 @@ def fit_drift_bins(
     """Equal-share bins of the reference; repeated edges are merged."""
     found = quantile_values(reference, cols, [i / bins for i in range(1, bins)], max_rows=max_rows)
     edges = {c: sorted({v for v in values if v is not None}) for c, values in found.items()}
-    row = reference.agg(*_bin_counts(edges)).first()
+    row = reference.agg(*_edge_counts(edges)).first()
     shares = {}
     for c, cuts in edges.items():
-        counts = [row[f"{c}__{i}"] for i in range(len(cuts) + 1)]
+        counts = _bin_counts([row[f"{c}__{i}"] for i in range(len(cuts) + 1)])
         total = sum(counts) or 1
         shares[c] = [n / total for n in counts]
     return DriftBins(edges, shares)
@@ -60,12 +66,12 @@ def drift_scores(
     """Stability index per feature (and per key, such as the day) with the threshold flag.
 
     All features and bins are counted in one aggregation with a fixed number of counters."""
-    counted = current.groupBy(*keys).agg(*_bin_counts(fit.edges))
+    counted = current.groupBy(*keys).agg(*_edge_counts(fit.edges))
     names = [c for c in counted.columns if "__" not in c]
     entries = []
     for c, reference in fit.shares.items():
-        counts = [F.col(f"{c}__{i}") for i in range(len(reference))]
-        total = sum(counts[1:], counts[0])
+        above = [F.col(f"{c}__{i}") for i in range(len(reference))]
+        counts, total = _bin_counts(above), above[0]
         score = F.lit(0.0)
         for n, r in zip(counts, reference):
             share = F.greatest(F.try_divide(n.cast("double"), total), F.lit(EPSILON))

@@ -12,7 +12,7 @@ from parcelwise.functions.columns import float_columns, numeric_columns
 from parcelwise.operators.joins import shared_columns, tag_and_union
 from parcelwise.operators.ordering import running_sum
 from parcelwise.operators.quantiles import quantile_values
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side
+from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side, written
 from parcelwise.schemas import REQUEST_RANGES, REQUEST_REQUIRED, SALE_RULES, Rule
 
 FAMILIES = {
@@ -202,6 +202,7 @@ def ks_two_sample(
     counts = long.groupBy("column", "value").agg(
         F.count_if(~F.col("is_reference")).alias("n_current"), F.count_if("is_reference").alias("n_reference")
     )
+    counts = written(counts, "value-counts")
     running = running_sum(
         counts, ["column"], ["value"], {"c_current": "n_current", "c_reference": "n_reference"}, max_rows=max_rows
     )

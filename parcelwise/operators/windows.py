@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from parcelwise.operators.ordering import day_number, running_sum, split_hot
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side
+from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side, written
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -34,8 +34,8 @@ def percent_rank_within(
     heavy, light = split_hot(df, keys, max_rows, sizes)
     if heavy is None:
         return df.withColumn(out, ranked)
-    counts = heavy.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    totals = lookup_side(heavy.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total")))
+    counts = written(heavy.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), "value-counts")
+    totals = lookup_side(counts.groupBy(*keys).agg(F.sum("__n").alias("__total")))
     table = join_keys(running_sum(counts, keys, [value], {"__upto": "__n"}, max_rows=max_rows), totals, keys)
     below = (F.col("__upto") - F.col("__n")).cast("double")
     table = table.withColumn(out, F.coalesce(F.try_divide(below, F.col("__total") - 1), F.lit(0.0)))

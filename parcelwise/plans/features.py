@@ -34,6 +34,7 @@ from parcelwise.operators.encoding import (
     one_hot_vector,
 )
 from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, near, query, rnd, with_sales
+from parcelwise.scale import written
 from parcelwise.schemas import REQUEST_VECTOR
 from parcelwise.sources.sample_tables import SALE_ORDER, sales, sales_dirty, table
 
@@ -555,7 +556,7 @@ def e7(spark, folder):
 
 @query("e8_fit_then_apply")
 def e8(spark, folder):
-    rows = keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER))
+    rows = written(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)), "properties")
     old = F.col("sale_date") < F.lit("1998-06-01").cast("timestamp_ntz")
     fit = FeatureFit(exclude=(*ID, "price"), components=10).fit(rows.filter(old))
     return fit.apply(rows).select("property_id", vector_to_array("projected").alias("projected"))

@@ -20,18 +20,19 @@ from parcelwise.plans.catalog import (
 )
 from parcelwise.plans.modeling import _forest, model_rows
 from parcelwise.plans.quality import DRIFT_BASE, DRIFTED, REASON_SQL
-from parcelwise.scale import fresh_path
+from parcelwise.scale import fresh_path, written
 from parcelwise.schemas import LATENCY_BOUNDS, REQUEST_SCHEMA
 from parcelwise.sources.sample_tables import feature_history, request_log, sales, sales_dirty, table
 from parcelwise.streaming import ingest, monitors
 from parcelwise.streaming.sources import drain_to_files, file_messages
 
-FILES = 4
+FILES = 8
 
 
 def sliced_files(rows: DataFrame, ts: str, cuts: list[datetime], kind: str) -> str:
     """Write rows as consecutive time slices of FILES files each, so that a stream reading FILES files
     per batch sees the slices in order."""
+    rows = written(rows, "rows")
     path = fresh_path(rows.sparkSession, "slices")
     bounds = [None, *cuts, None]
     for low, high in zip(bounds, bounds[1:]):

@@ -26,8 +26,8 @@ def parse_messages(messages: DataFrame, schema: T.StructType = REQUEST_SCHEMA, r
     damaged = T.StructField("_damaged", T.StringType())
     full = T.StructType([*schema.fields, damaged])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_damaged"}
-    parsed = messages.withColumn("__m", F.from_json("value", full, options))
-    flat = parsed.select(*messages.columns, "__m.*")
+    # A generator keeps the filter on `reasons` above the parser, so each value is parsed once.
+    flat = messages.select(*messages.columns, F.inline(F.array(F.from_json("value", full, options))))
     bad = F.col("_damaged").isNotNull() | F.col("value").isNull()
     checks = request_reasons() if reasons is None else reasons
     return flat.withColumn("reasons", F.when(bad, F.array(F.lit(MALFORMED))).otherwise(checks)).drop("_damaged")
