@@ -9,8 +9,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.operators.metrics import metric_columns
 from parcelwise.operators.ordering import last_known
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side
+from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side, written
 
 
 def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -102,10 +103,13 @@ def historical_features(
     return spine
 
 
-def join_actuals(predictions: DataFrame, actuals: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(predictions whose actual is known, predictions still waiting)."""
+def delayed_metrics(
+    predictions: DataFrame, actuals: DataFrame, key: str, labels: Sequence[str] = ()
+) -> DataFrame:
+    """Error metrics of the predictions whose actual has arrived, and how many still wait for theirs."""
     joined = predictions.join(actuals, key, "left")
-    return joined.filter(F.col("actual").isNotNull()), joined.filter(F.col("actual").isNull())
+    waiting = F.count_if(F.col("actual").isNull()).alias("waiting")
+    return joined.groupBy(*labels).agg(*metric_columns(), waiting)
 
 
 def reuse_or_score(
@@ -121,11 +125,13 @@ def reuse_or_score(
 ) -> DataFrame:
     """Take earlier results that are not older than `ttl`; score the remaining requests.
 
+    The lookup is written once because hits and misses go different ways.
+
     The lookup is a point-in-time join on the fingerprint, so a repeated or dominating fingerprint
     neither multiplies rows nor lands in one task."""
     view = FeatureView("results", results, fingerprint, tuple(values), ttl, result_ts, result_ts)
     asked = requests.withColumn("reused", F.lit(True))
-    found = point_in_time(asked, view, ts=request_ts, max_rows=max_rows)
+    found = written(point_in_time(asked, view, ts=request_ts, max_rows=max_rows), "lookups")
     hit = F.col(values[0]).isNotNull()
     missed = found.filter(~hit).select(*requests.columns)
     scored = score(missed).withColumn("reused", F.lit(False))

@@ -70,8 +70,10 @@ def rolling_days(
         "__day",
         *[day_range_mean(daily, keys, v, -n, -1).alias(out) for out, (v, n) in outputs.items()],
     )
+    # Written first: whether it is small enough to broadcast is then known without computing it twice.
+    lookup = lookup_side(written(means, "daily-means"))
     keyed = df.withColumn("__day", day_number(F.col(ts)))
-    return join_keys(keyed, means, [*keys, "__day"]).drop("__day")
+    return join_keys(keyed, lookup, [*keys, "__day"]).drop("__day")
 
 
 def momentum(df: DataFrame, keys: Sequence[str], ts: str, value: str, days: int = 7) -> DataFrame:
@@ -89,19 +91,19 @@ def momentum(df: DataFrame, keys: Sequence[str], ts: str, value: str, days: int
 def monthly_index(df: DataFrame, keys: Sequence[str], ts: str, value: str) -> DataFrame:
     """Per key and month: mean, its ratio to the key's overall mean, growth on the same month last year.
 
-    Last year's month is found by joining on the shifted month, so gaps give null, not a wrong month."""
+    Last year's month is found by a range frame on the month number, so gaps give null, not a wrong
+    month. The windows run over one row per key and month."""
     month = F.trunc(F.to_date(ts), "month").alias("month")
     monthly = df.groupBy(*keys, month).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
-    overall = monthly.groupBy(*keys).agg((F.sum("__sum") / F.sum("__n")).alias("__overall"))
-    means = monthly.select(*keys, "month", F.try_divide("__sum", "__n").alias("month_mean"))
-    past = means.select(
-        *keys, F.add_months("month", 12).alias("month"), F.col("month_mean").alias("__past")
-    )
-    joined = join_keys(join_keys(means, overall, keys), past, [*keys, "month"])
-    return joined.select(
+    number = F.year("month") * 12 + F.month("month")
+    means = monthly.withColumns({"month_mean": F.try_divide("__sum", "__n"), "__number": number})
+    everything = Window.partitionBy(*keys)
+    year_ago = everything.orderBy("__number").rangeBetween(-12, -12)
+    overall = F.try_divide(F.sum("__sum").over(everything), F.sum("__n").over(everything))
+    return means.select(
         *keys,
         "month",
         "month_mean",
-        F.try_divide("month_mean", "__overall").alias("seasonal_index"),
-        (F.try_divide("month_mean", "__past") - 1).alias("year_over_year_growth"),
+        F.try_divide("month_mean", overall).alias("seasonal_index"),
+        (F.try_divide("month_mean", F.first("month_mean").over(year_ago)) - 1).alias("year_over_year_growth"),
     )

@@ -580,19 +580,13 @@ def _two_tables(spark, folder):
           {rnd("avg(abs(prediction - actual))")} AS mae FROM predictions GROUP BY model_version""",
 )
 def j5(spark, folder):
-    matched, waiting = joins.join_actuals(*_two_tables(spark, folder), "request_id")
-    scored = met.regression_metrics(matched, ["model_version"]).select(
-        "model_version", F.col("n").alias("matched"), near("mae").alias("mae")
-    )
-    left = waiting.groupBy("model_version").agg(F.count(F.lit(1)).alias("waiting"))
-    return scored.join(left, "model_version", "full").select(
-        "model_version", "matched", F.coalesce("waiting", F.lit(0)).cast("long").alias("waiting"), "mae"
-    )
+    scored = joins.delayed_metrics(*_two_tables(spark, folder), "request_id", ["model_version"])
+    return scored.select("model_version", F.col("n").alias("matched"), "waiting", near("mae").alias("mae"))
 
 
 REUSE = """asked AS (SELECT event_id, ts, md5(concat_ws('|', 'endpoint=' || 'v' || event_type, 'user_id=' || 'v' || CAST(user_id AS VARCHAR))) AS fingerprint
              FROM events),
-  results AS (SELECT fingerprint, ts AS result_ts, CAST(event_id AS DOUBLE) AS price FROM asked WHERE event_id % 3 = 0)"""
+  results AS (SELECT fingerprint, ts + INTERVAL 20 MINUTE AS result_ts, CAST(event_id AS DOUBLE) AS price FROM asked)"""
 
 
 @query(
@@ -608,9 +602,9 @@ REUSE = """asked AS (SELECT event_id, ts, md5(concat_ws('|', 'endpoint=' || 'v'
 def j6(spark, folder):
     named = request_log(spark, folder).withColumnRenamed("client", "user_id")
     asked = named.select("event_id", "ts", row_fingerprint(["endpoint", "user_id"]).alias("fingerprint"))
-    results = asked.filter(F.col("event_id") % 3 == 0).select(
-        "fingerprint", F.col("ts").alias("result_ts"), F.col("event_id").cast("double").alias("price")
-    )
+    # Every request had a result twenty minutes after it was asked.
+    ready = (F.col("ts") + F.make_interval(mins=F.lit(20))).alias("result_ts")
+    results = asked.select("fingerprint", ready, F.col("event_id").cast("double").alias("price"))
     return joins.reuse_or_score(
         asked, results, "fingerprint", lambda missed: missed.withColumn("price", F.lit(-1.0)), ["price"]
     )

@@ -557,11 +557,44 @@ def e7(spark, folder):
 @query("e8_fit_then_apply")
 def e8(spark, folder):
     rows = written(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)), "properties")
-    old = F.col("sale_date") < F.lit("1998-06-01").cast("timestamp_ntz")
+    old = F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz")
     fit = FeatureFit(exclude=(*ID, "price"), components=10).fit(rows.filter(old))
     return fit.apply(rows).select("property_id", vector_to_array("projected").alias("projected"))
 
 
+FITTED = ["square_feet", "property_age", "sale_month", "price_std"]
+FIT_CUT = "1995-04-01"
+
+
+def _scaled_sql(c: str) -> str:
+    middle, spread = f"median({c})", f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)"
+    past = f"FROM prepared WHERE sale_date < TIMESTAMP '{FIT_CUT}'"
+    return rnd(f"({c} - (SELECT {middle} {past})) / (SELECT CASE WHEN {spread} = 0 THEN 1 ELSE {spread} END {past})", 6)
+
+
+@query(
+    "e8_fit_on_past_apply_to_all",
+    with_sales(
+        "SELECT property_id, " + ", ".join(f"{_scaled_sql(c)} AS {c}" for c in FITTED) + " FROM prepared",
+        """firsts AS (SELECT * FROM sales QUALIFY row_number() OVER (
+             PARTITION BY property_id ORDER BY sale_date, l_orderkey, l_linenumber) = 1)""",
+        f"""stats AS (SELECT zipcode, round(stddev_samp(price), 2) AS price_std FROM firsts
+              WHERE sale_date < TIMESTAMP '{FIT_CUT}' GROUP BY zipcode)""",
+        """prepared AS (SELECT firsts.* REPLACE (square_feet AS square_feet), coalesce(price_std, 0) AS price_std,
+             CAST(2024 - year_built AS DOUBLE) AS property_age, CAST(month(sale_date) AS DOUBLE) AS sale_month
+           FROM firsts LEFT JOIN stats USING (zipcode))""",
+    ),
+)
+def e8_past(spark, folder):
+    rows = written(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)), "properties")
+    past = rows.filter(F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz"))
+    fit = FeatureFit(exclude=(*ID, "price")).fit(past)
+    values = vector_to_array("features")
+    return fit.apply(rows).select(
+        "property_id", *[near(values[fit.columns.index(c)], 6).alias(c) for c in FITTED]
+    )
+
+
 @query(
     "e6_request_vector",
     with_sales(

@@ -16,7 +16,6 @@ from parcelwise.models.estimators import (
     fit_early_stopping,
     gradient_boosting,
     importance_table,
-    predict_price,
     random_forest,
     with_label,
 )
