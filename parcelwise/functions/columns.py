@@ -19,9 +19,10 @@ def float_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN counts as missing everywhere in this library; Spark alone would treat it as a large number."""
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in float_columns(df)})
+def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """NaN counts as missing in this library; Spark alone would treat it as a large number."""
+    floats = [c for c in float_columns(df) if cols is None or c in cols]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
 
 
 def sanitize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

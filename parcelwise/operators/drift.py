@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.functions.columns import nan_to_null
 from parcelwise.operators.quantiles import quantile_values
 from parcelwise.scale import MAX_GROUP_ROWS
 
@@ -51,7 +52,7 @@ def fit_drift_bins(
     """Equal-share bins of the reference; repeated edges are merged."""
     found = quantile_values(reference, cols, [i / bins for i in range(1, bins)], max_rows=max_rows)
     edges = {c: sorted({v for v in values if v is not None}) for c, values in found.items()}
-    row = reference.agg(*_edge_counts(edges)).first()
+    row = nan_to_null(reference, cols).agg(*_edge_counts(edges)).first()
     shares = {}
     for c, cuts in edges.items():
         counts = _bin_counts([row[f"{c}__{i}"] for i in range(len(cuts) + 1)])
@@ -66,7 +67,7 @@ def drift_scores(
     """Stability index per feature (and per key, such as the day) with the threshold flag.
 
     All features and bins are counted in one aggregation with a fixed number of counters."""
-    counted = current.groupBy(*keys).agg(*_edge_counts(fit.edges))
+    counted = nan_to_null(current, list(fit.edges)).groupBy(*keys).agg(*_edge_counts(fit.edges))
     names = [c for c in counted.columns if "__" not in c]
     entries = []
     for c, reference in fit.shares.items():

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.functions.columns import nan_to_null
 from parcelwise.operators.ordering import running_sum
 from parcelwise.scale import MAX_GROUP_ROWS, join_keys, largest_group, lookup_side, written
 
@@ -25,11 +26,12 @@ def quantiles(
 ) -> DataFrame:
     """One row per group; every column of `cols` becomes the array of its quantiles at `probs`.
 
-    Nulls are ignored. Groups within `max_rows` use `percentile`, which buffers the distinct values
+    Nulls and NaN are ignored. Groups within `max_rows` use `percentile`, which buffers the distinct values
     of a group in one task. Larger groups are read twice: a mergeable sketch brackets each quantile,
     then only the values inside the brackets are counted and ranked. Should a bracket miss, all
     values are counted instead. `exact=False` returns the sketch itself."""
     points = F.array(*[F.lit(float(p)) for p in probs])
+    df = nan_to_null(df.select(*keys, *[c for c in cols if c not in keys]), cols)
     if not exact:
         sketch = [F.percentile_approx(F.col(c).cast("double"), points, 10 * ACCURACY).alias(c) for c in cols]
         return df.groupBy(*keys).agg(*sketch)

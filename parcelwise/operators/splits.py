@@ -28,14 +28,14 @@ def random_split(
 
 
 def chronological_position(
-    df: DataFrame, order: Sequence[str], ts: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, order: Sequence[str], ts: str, max_rows: int = MAX_GROUP_ROWS, total: int | None = None
 ) -> DataFrame:
     """Add `position` (0-based) and `fraction` of each row along `order`, which starts with `ts`.
 
     The rank is taken per day and moved by the number of rows on earlier days; days that are too
     large are range-partitioned, so no task sorts the whole frame."""
     ranked = rank_within(df, [], order, "__rank", day_number(F.col(ts)), max_rows)
-    total = df.count()
+    total = df.count() if total is None else total
     position = (F.col("__rank") - 1).cast("long")
     return ranked.withColumn("position", position).withColumn("fraction", position / F.lit(total)).drop("__rank")
 
@@ -54,8 +54,9 @@ def split_cuts(n: int, scheme: str = "holdout") -> tuple[int, int]:
 def chronological_split(
     df: DataFrame, order: Sequence[str], ts: str, scheme: str = "holdout", max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    placed = chronological_position(df, order, ts, max_rows)
-    val, test = split_cuts(df.count(), scheme)
+    total = df.count()
+    placed = chronological_position(df, order, ts, max_rows, total)
+    val, test = split_cuts(total, scheme)
     label = F.when(F.col("position") < val, "train").when(F.col("position") < test, "val").otherwise("test")
     return placed.withColumn("split", label)
 

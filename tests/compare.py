@@ -25,6 +25,10 @@ SAME = {
 }
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def _cell(value):
     if isinstance(value, float) and math.isnan(value):
         return "nan"

@@ -1,45 +1,13 @@
-"""Plan shape: no Python workers, no single-task sorts, no cartesian products, pruned scans."""
+"""Plan shape of single operators. Rules for all queries are checked in test_queries.py."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from compare import TESTDATA
+from compare import TESTDATA, plan
 from parcelwise.plans import QUERIES
 from parcelwise.scale import fresh_path, lookup_side, shared_folder
 
 FOLDER = f"{TESTDATA}/sf0.001"
-PYTHON = ("ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-# Windows over small frames: categories, backtest periods, one row per day, evaluations of one rule.
-SMALL_WINDOWS = {
-    "d10_firing_alerts",
-    "e1_frequency_index",
-    "flagship_feature_job",
-    "m3_time_series_folds",
-    "m4_expanding_windows",
-    "m5_backtest_periods",
-    "w7_chronological_position",
-}
-SKIPPED = ("k", "m5_backtest_predictions", "m6", "m7", "m9", "m1", "m2", "e5", "e8")
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-BATCH = [n for n in sorted(QUERIES) if not n.startswith(SKIPPED)] + ["m1_random_split", "m12_fixed_interval"]
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_batch_plan(spark, name):
-    text = plan(QUERIES[name](spark, FOLDER))
-    for worker in PYTHON:
-        assert worker not in text
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    if name not in SMALL_WINDOWS:
-        assert "Window [" not in text or "Exchange SinglePartition" not in text.split("Window [", 1)[1]
-
-
 def test_only_admission_runs_python(spark):
     assert "FlatMapGroupsInPandas" in plan(QUERIES["k7_admissions_table"](spark, FOLDER))
 

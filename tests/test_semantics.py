@@ -11,6 +11,8 @@ from parcelwise.functions import features as feats
 from parcelwise.models import scoring
 from parcelwise.operators import aggregates as agg
 from parcelwise.operators import alerts, cleaning, drift, encoding, joins, metrics, registry, splits, validation, windows
+from parcelwise.operators import quantiles as quantiles_module
+from parcelwise.operators.quantiles import quantile_values
 from parcelwise.schemas import FEATURE_CATALOGUE, Rule
 from parcelwise.session import shuffle_width
 from parcelwise.sources import files, publish, tables
@@ -110,6 +112,23 @@ def test_nan_is_missing(spark):
     assert validation.range_checks(df, [rule]).first()["unexpected_count"] == 1
 
 
+def test_nan_does_not_disturb_quantiles_or_bins(spark):
+    rows = [(float(i),) for i in range(101)] + [(float("nan"),)] * 300
+    df = spark.createDataFrame(rows, "v DOUBLE")
+    for bound in (20, 10**6):
+        assert quantile_values(df, ["v"], [0.5, 1.0], bound) == {"v": [50.0, 100.0]}
+    fit = drift.fit_drift_bins(df, ["v"])
+    assert drift.drift_scores(df, fit).first()["n"] == 101
+
+
+def test_a_quantile_outside_its_bracket_is_still_exact(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 4999).cast("double").alias("v"))
+    expected = quantile_values(df, ["v"], [0.3, 0.5])
+    monkeypatch.setattr(quantiles_module, "MARGIN", -0.01)
+    found = quantile_values(df, ["v"], [0.3, 0.5], 100)
+    assert found["v"] == pytest.approx(expected["v"])
+
+
 def test_column_selection_errors(spark):
     df = spark.createDataFrame([(1.0, "x")], "square_feet DOUBLE, z STRING")
     assert cols.select_numeric(df).columns == ["square_feet"]
