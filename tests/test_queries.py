@@ -13,6 +13,8 @@ SMALL_WINDOWS = {
     "d10_firing_alerts",
     "e1_frequency_index",
     "flagship_feature_job",
+    "m2_chronological_split",
+    "m2_nested_split",
     "m3_time_series_folds",
     "m4_expanding_windows",
     "m5_backtest_periods",
