@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, sharding
+from parcelwise.llm import bpe, packing, sharding
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,18 @@ def histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def packed_digests(docs: DataFrame, **options) -> DataFrame:
+    """Pieces of `docs` with the checksum of their ids in place of the ids, packed."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), **options).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query("op4_grouped_packing")
+def grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digests(documents(spark, sf_dir))
