@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, packing, sharding
+from parcelwise.llm import bpe, packing, sharding, simhash
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def packed_digests(docs: DataFrame, **options) -> DataFrame:
 @query("op4_grouped_packing")
 def grouped_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digests(documents(spark, sf_dir))
+
+
+@query("op5_simhash_near_duplicates")
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
