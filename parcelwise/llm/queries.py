@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, packing, sharding, simhash, substrings
+from parcelwise.llm import bpe, language, packing, quality, sharding, simhash, substrings
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,27 @@ def repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op7_language_backoff")
+def language_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    model = language.learn(docs.where("not held_out"))
+    return language.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op8_quality_regression")
+def quality_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, model).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "probability",
+    )
