@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, language, packing, quality, sharding, simhash, substrings
+from parcelwise.llm import bpe, language, mixing, packing, quality, sharding, simhash, substrings
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,8 @@ def quality_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "probability",
     )
+
+
+@query("op3_context_mixing")
+def context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score_documents(documents(spark, sf_dir), language.held_out(folds=7))

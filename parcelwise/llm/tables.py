@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.scale import written
+from parcelwise.scale import fresh_path
 
 CHUNK_BYTES = 16 * 1024**2
 """Text one Python task keeps together with a dictionary of its own."""
@@ -20,11 +20,14 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def chunked(docs: DataFrame, columns: list[str], label: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """A written copy of `columns` with a column `chunk`, one value per file of about `chunk_bytes`.
+def stored_chunks(docs: DataFrame, label: str, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """A written copy of `docs` with a column `chunk` that names the file a row lies in.
 
-    Rows are dealt out in turn, so no key, source or group of copies can make a chunk large. The
-    files fix the chunks: every later pass, after any loss of executors, sees the same ones."""
-    chunks = max(1, -(-text_bytes(docs) // chunk_bytes))
-    copy = written(docs.select(*columns).repartition(chunks), label)
+    Files hold as many rows as come to about `chunk_bytes` of text on average. Nothing is shuffled,
+    and every later pass, after any loss of executors, sees the same chunks."""
+    total, rows = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    per_file = max(1, min(10_000, int(chunk_bytes * rows / max(1, total or 0)))) if rows else 1
+    path = fresh_path(docs.sparkSession, label)
+    docs.write.option("maxRecordsPerFile", per_file).option("compression", "zstd").parquet(path)
+    copy = docs.sparkSession.read.schema(docs.schema).parquet(path)
     return copy.select("*", F.xxhash64(F.col("_metadata.file_path")).alias("chunk"))
