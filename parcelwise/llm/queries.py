@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, language, mixing, packing, quality, sharding, simhash, substrings
+from parcelwise.llm import bpe, editprint, hosts, language, mixing, packing, quality, sharding, simhash, substrings
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,69 @@ def quality_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_context_mixing")
 def context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score_documents(documents(spark, sf_dir), language.held_out(folds=7))
+
+
+HOST = r"translate(regexp_extract({0}, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _host_rank_sql() -> str:
+    """The rounds of the propagation, one common table each."""
+    out = []
+    for name, edges, columns in (("f", "forward", ("trust", "base")), ("b", "backward", ("distrust",))):
+        for step in range(1, hosts.ROUNDS + 1):
+            before = "seeds" if step == 1 else f"{name}{step - 1}"
+            came = ", ".join(f"{hosts.DAMPING} * share * {c} AS {c}" for c in columns)
+            start = ", ".join(f"{1 - hosts.DAMPING} * {c}" for c in columns)
+            sums = ", ".join(f"sum({c}) AS {c}" for c in columns)
+            out.append(
+                f"{name}{step} AS (SELECT host, {sums} FROM (SELECT dst AS host, {came} FROM {edges} JOIN {before}"
+                f" ON src = {before}.host UNION ALL SELECT host, {start} FROM seeds) GROUP BY host)"
+            )
+    return ",\n".join(out)
+
+
+@query(
+    "op6_host_trust",
+    f"""WITH split AS (
+  SELECT page_id, html, coalesce({HOST.format("url")}, '') AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+ruled AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM split),
+given AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END
+  AS fixed FROM ruled),
+seeds AS (SELECT host, count(*) FILTER (fixed = 'allow')::DOUBLE AS trust,
+  count(*) FILTER (fixed = 'block')::DOUBLE AS distrust, count(*)::DOUBLE AS base FROM given WHERE host <> '' GROUP BY host),
+hrefs AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(html,
+  'href\\s*=\\s*["'']?([a-z][a-z0-9+.-]*://[^"''\\s>]*)', 1, 'i'))) AS href FROM split),
+up AS (SELECT DISTINCT host AS src, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS dst FROM split),
+edges AS (SELECT src, dst, count(*)::DOUBLE AS n FROM (
+  SELECT src, {HOST.format("href")} AS dst FROM hrefs UNION ALL SELECT src, dst FROM up UNION ALL SELECT dst, src FROM up)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+forward AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM edges),
+backward AS (SELECT dst AS src, src AS dst, n / sum(n) OVER (PARTITION BY dst) AS share FROM edges),
+{_host_rank_sql()},
+blocked AS (SELECT host FROM f{hosts.ROUNDS} JOIN b{hosts.ROUNDS} USING (host)
+  WHERE round(distrust - trust - {hosts.THRESHOLD} * base, 6) > 0)
+SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN host IN (FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM given""",
+)
+def host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+@query("op10_edit_embedding")
+def edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edited_pairs(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
