@@ -21,6 +21,7 @@ Columns of the input other than id and text are not carried.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,41 +40,55 @@ GROUPS = 64
 SMALL_SHARE = 8
 """Pieces up to capacity / SMALL_SHARE are small."""
 
-CACHED_WORDS = 300_000
-"""Distinct words whose ids a Python worker keeps; beyond it the store is emptied."""
+CACHED_WORDS = 150_000
+"""Distinct words in each of the two generations that a Python worker keeps."""
 
 PIECE = "array<struct<piece:int,start:long,length:long,ids:binary>>"
 
 
+class WordIds(dict):
+    """Ids of each word as little-endian unsigned 32-bit integers, encoded once while it is in use.
+
+    A full generation becomes the old one, from which words that come again are taken back."""
+
+    def __init__(self, tokenizer, size: int = CACHED_WORDS):
+        super().__init__()
+        self.tokenizer, self.merges, self.size = tokenizer, tokenizer.model, size
+        self.old: dict[bytes, bytes] = {}
+
+    def encoded(self, word: bytes) -> bytes:
+        """Ids of a new word. ASCII capitals are lower-cased by the tokenizer, ASCII letters go to its
+        merges as they are, and a full stop or comma after a letter or digit stands alone there."""
+        if word.isascii():
+            if word.isalpha():
+                return array("I", [t.id for t in self.merges.tokenize(word.decode().lower())]).tobytes()
+            if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+                return self[word[:-1]] + self[word[-1:]]
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encoded(word)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 @lru_cache(maxsize=2)
 def word_encoder(tokenizer_path: str):
     """A function of a text's bytes that gives its ids as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space before it merges and no rule of it looks across white space, so
     the ids of a text are those of its words in turn, and words repeat."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     tokenizer.encode_special_tokens = True
-    known: dict[bytes, bytes] = {}
-
-    def ids_of(text: bytes) -> bytes:
-        words = text.split()
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            for word, e in zip(
-                new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True
-            ):
-                known[word] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
-
-    return ids_of
+    known = WordIds(tokenizer)
+    return lambda text: b"".join(map(known.__getitem__, text.split()))
 
 
 def token_pieces(

@@ -53,7 +53,7 @@ def test_query(spark):
 def test_words_give_the_ids_of_the_text():
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
-    text = "It's  ÁprÈs 'ReΣΣ 3.14 x y\n\nİ ́a <|endoftext|> don't !!?? ẛ̣ \x1fz"
+    text = "It's  ÁprÈs 'ReΣΣ 3.14 x y\n\nİ ́a <|endoftext|> Word. WORD, x., 3. 's. H\u0331. don't !!?? ẛ̣ \x1fz"
     ids = np.frombuffer(packing.word_encoder(PATH)(text.encode()), "<u4").tolist()
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
