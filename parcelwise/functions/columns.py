@@ -22,7 +22,7 @@ def float_columns(df: DataFrame) -> list[str]:
 def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NaN counts as missing in this library; Spark alone would treat it as a large number."""
     floats = [c for c in float_columns(df) if cols is None or c in cols]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floats})
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in floats})
 
 
 def sanitize(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -76,11 +76,14 @@ def select_group(df: DataFrame, *groups: str) -> DataFrame:
 
 
 def row_fingerprint(cols: Iterable[str]) -> Column:
-    """md5 over `name=value` parts in name order; null and the text 'null' differ."""
-    parts = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")))
-        for c in sorted(cols)
-    ]
+    """md5 over `name=value` parts in name order; null and the text 'null' differ.
+
+    Every value goes with its length, so no value can be taken for the start of the next part."""
+    parts = []
+    for c in sorted(cols):
+        value = F.col(c).cast("string")
+        told = F.concat(F.lit("v"), F.length(value).cast("string"), F.lit(":"), value)
+        parts.append(F.concat(F.lit(f"{c}="), F.coalesce(told, F.lit("n"))))
     return F.md5(F.concat_ws("|", *parts))
 
 

@@ -199,19 +199,22 @@ def training_features(df: DataFrame, current_year: int = DEFAULT_YEAR) -> DataFr
 
 
 def request_defaults(df: DataFrame, lot_default: str = "fifth_of_size") -> DataFrame:
-    """Missing request fields to their defaults; booleans to 0/1. Lot size: 0.2·sqft or 0."""
-    sqft = F.coalesce(F.col("square_feet").cast("double"), F.lit(0.0))
+    """Missing request fields to their defaults; booleans to 0/1. NaN is missing. Lot size: 0.2·sqft or 0."""
+    def number(c: str) -> Column:
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    sqft = F.coalesce(number("square_feet"), F.lit(0.0))
     lot = sqft * 0.2 if lot_default == "fifth_of_size" else F.lit(0.0)
     filled = {
         "square_feet": sqft,
-        "bedrooms": F.coalesce(F.col("bedrooms").cast("double"), F.lit(0.0)),
-        "bathrooms": F.coalesce(F.col("bathrooms").cast("double"), F.lit(0.0)),
-        "year_built": F.coalesce(F.col("year_built").cast("double"), F.lit(2000.0)),
-        "lot_size": F.coalesce(F.col("lot_size").cast("double"), lot),
-        "pool": F.coalesce(F.col("pool").cast("double"), F.lit(0.0)),
-        "fireplace": F.coalesce(F.col("fireplace").cast("double"), F.lit(0.0)),
-        "garage_spaces": F.coalesce(F.col("garage_spaces").cast("double"), F.lit(0.0)),
-        "condition_score": F.coalesce(F.col("condition_score").cast("double"), F.lit(5.0)),
+        "bedrooms": F.coalesce(number("bedrooms"), F.lit(0.0)),
+        "bathrooms": F.coalesce(number("bathrooms"), F.lit(0.0)),
+        "year_built": F.coalesce(number("year_built"), F.lit(2000.0)),
+        "lot_size": F.coalesce(number("lot_size"), lot),
+        "pool": F.coalesce(number("pool"), F.lit(0.0)),
+        "fireplace": F.coalesce(number("fireplace"), F.lit(0.0)),
+        "garage_spaces": F.coalesce(number("garage_spaces"), F.lit(0.0)),
+        "condition_score": F.coalesce(number("condition_score"), F.lit(5.0)),
     }
     return df.withColumns(filled)
 

@@ -47,7 +47,7 @@ def permutation_importance(
     exploded = paired.select(label, "x", "donor", F.explode(indexes).alias("i"))
     changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.col("donor")[j]).otherwise(v))
     scored = _scored(model, exploded.select(label, "i", changed.alias("values")), "values")
-    mae = scored.groupBy("i").agg(F.avg(F.abs(F.col("prediction") - F.col(label))).alias("mae"))
+    mae = written(scored.groupBy("i").agg(F.avg(F.abs(F.col("prediction") - F.col(label))).alias("mae")), "losses")
     plain = F.max(F.when(F.col("i") == -1, F.col("mae"))).alias("plain")
     baseline = mae.agg(plain).scalar()
     return mae.filter(F.col("i") >= 0).select(
@@ -93,10 +93,15 @@ def attributions(
 ) -> DataFrame:
     """Sampled Shapley values: (keys, feature, value, base_value); base + sum of values = prediction.
 
+    Every background row takes part equally: there are as many permutations as background rows, or
+    the next multiple of them, and the base value is the mean prediction over all background rows.
+    Each explained row is scored permutations * (features + 1) times.
+
     A permutation turns a background row into the explained row one feature at a time. Each
     intermediate row is scored once and counts for the feature just changed and against the next."""
     d = len(names)
     draw = random.Random(seed)
+    permutations = -(-permutations // len(background)) * len(background)
     orders = [draw.sample(range(d), d) for _ in range(permutations)]
     draws = F.array(
         *[
@@ -134,6 +139,12 @@ def attributions(
     )
 
 
+def mean_attribution(attributed: DataFrame) -> DataFrame:
+    """Features by the mean absolute value of their attributions; the base value is no feature."""
+    real = attributed.filter(F.col("feature") != "base_value")
+    return real.groupBy("feature").agg(F.avg(F.abs("value")).alias("importance"))
+
+
 def interaction_strength(
     model: Model,
     df: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwise.functions.columns import numeric_columns
+from parcelwise.functions.columns import nan_to_null, numeric_columns
 from parcelwise.operators.quantiles import quantiles
 from parcelwise.scale import MAX_GROUP_ROWS, join_keys, largest_group, lookup_side
 
@@ -18,7 +18,8 @@ from parcelwise.scale import MAX_GROUP_ROWS, join_keys, largest_group, lookup_si
 def group_stats(
     df: DataFrame, keys: Sequence[str] = ("zipcode",), digits: int | None = 2, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Price mean, median, sample deviation, mean size and mean age per group."""
+    """Price mean, median, sample deviation, mean size and mean age per group; NaN counts as missing."""
+    df = nan_to_null(df, ["price", "square_feet", "property_age"])
     means = [
         F.avg("price").alias("price_mean"),
         F.stddev_samp("price").alias("price_std"),
@@ -62,8 +63,9 @@ def relative_price(df: DataFrame) -> DataFrame:
 
 def leave_one_out_mean(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Mean of the group without the row itself, so a target never explains itself."""
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
-    joined = join_keys(df, lookup_side(sums), keys)
+    clean = nan_to_null(df, [value])
+    sums = clean.groupBy(*keys).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+    joined = join_keys(clean, lookup_side(sums), keys)
     alone = F.col(value).isNull()
     others = F.when(alone, F.try_divide("__sum", "__n")).otherwise(
         F.try_divide(F.col("__sum") - F.col(value), F.col("__n") - 1)
@@ -81,7 +83,9 @@ def table_profile(df: DataFrame, date: str | None = None) -> DataFrame:
     if date:
         dates = [F.min(date).cast("string").alias("min_date"), F.max(date).cast("string").alias("max_date")]
     flat = df.agg(F.count(F.lit(1)).alias("rows"), *nulls, *dates)
-    digest = F.sha2(F.to_json(F.struct(*names)), 256)
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    json = F.to_json(F.struct(*names), {"timestampFormat": micros, "timestampNTZFormat": micros})
+    digest = F.sha2(json, 256)
     copies = df.groupBy(digest.alias("d")).agg(F.count(F.lit(1)).alias("n"))
     duplicates = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
@@ -109,7 +113,10 @@ def table_profile(df: DataFrame, date: str | None = None) -> DataFrame:
 
 
 def fixed_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Counts per equal-width bin from minimum to maximum; the last bin includes the maximum."""
+    """Counts per equal-width bin from minimum to maximum; the last bin includes the maximum.
+
+    Null and NaN are in no bin."""
+    df = nan_to_null(df, [column])
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None:
         return df.select(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("n")).limit(0)
@@ -129,7 +136,10 @@ def fixed_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair in one aggregation, as (column_a, column_b, correlation)."""
+    """Pearson correlation of every pair in one aggregation, as (column_a, column_b, correlation).
+
+    A row counts for a pair if neither value is null or NaN."""
+    df = nan_to_null(df, cols)
     pairs = list(combinations(cols, 2))
     row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     entries = [(c, c, F.lit(1.0)) for c in cols]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from parcelwise.operators.metrics import metric_columns
-from parcelwise.operators.ordering import day_number, running_sum
+from parcelwise.operators.ordering import day_number, rank_within, running_sum
 from parcelwise.scale import MAX_GROUP_ROWS
 from parcelwise.schemas import LATENCY_BOUNDS, THRESHOLDS
 
@@ -83,15 +83,24 @@ def windowed_buckets(
     return counts.select("window_start", "n", F.inline(F.array(*entries)))
 
 
-def firing(conditions: DataFrame, rule: str, ts: str, holds: Column, step: int, lasting: int) -> DataFrame:
+def firing(
+    conditions: DataFrame,
+    rule: str,
+    ts: str,
+    holds: Column,
+    step: int,
+    lasting: int | Column,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
     """Stretches in which a condition holds at every evaluation for at least `lasting` seconds.
 
-    `step` is the evaluation interval in seconds; a missing evaluation ends the stretch."""
+    `step` is the evaluation interval in seconds; a missing evaluation ends the stretch. Ticks are
+    ranked per rule and day, so a rule with a long history is not one task."""
     tick = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (step * 1_000_000))
     true_rows = conditions.filter(holds).select(rule, ts, tick.alias("__tick"))
-    island = F.col("__tick") - F.row_number().over(Window.partitionBy(rule).orderBy("__tick"))
+    ranked = rank_within(true_rows, [rule], ["__tick"], "__rank", F.floor(F.col("__tick") * step / 86_400), max_rows)
     stretches = (
-        true_rows.withColumn("__island", island)
+        ranked.withColumn("__island", F.col("__tick") - F.col("__rank"))
         .groupBy(rule, "__island")
         .agg(
             F.min(ts).alias("since"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.functions.columns import numeric_columns
+from parcelwise.functions.columns import nan_to_null, numeric_columns
 from parcelwise.operators.quantiles import quantile_values, quantiles
 from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side
 from parcelwise.schemas import CLEAN_DEFAULTS
@@ -47,7 +47,8 @@ def impute_by_group(
     constants: dict[str, object],
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Missing values to the group median, then the overall median; other columns to constants."""
+    """Missing values, NaN among them, to the group median, then the overall median; other columns to constants."""
+    df = nan_to_null(df, medians)
     per_group = quantiles(df, medians, [0.5], keys, max_rows=max_rows)
     per_group = per_group.select(*keys, *[F.col(c)[0].alias(f"__med_{c}") for c in medians])
     overall = quantile_values(df, medians, [0.5], max_rows=max_rows)
@@ -66,7 +67,7 @@ class MedianImputer:
 
     def apply(self, df: DataFrame) -> DataFrame:
         filled = {
-            c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.medians.items() if c in df.columns
+            c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(m)) for c, m in self.medians.items() if c in df.columns
         }
         return df.withColumns(filled)
 

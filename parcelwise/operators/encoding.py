@@ -16,7 +16,7 @@ from parcelwise.functions.features import flag, training_features
 from parcelwise.operators.aggregates import GroupStats, fit_group_stats
 from parcelwise.operators.ordering import rank_within
 from parcelwise.operators.quantiles import quantile_values
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, small_rows
+from parcelwise.scale import MAX_GROUP_ROWS, MAX_SMALL_ROWS, join_keys, small_rows
 
 
 def frequency_index(df: DataFrame, column: str, out: str, sizes: DataFrame | None = None) -> DataFrame:
@@ -34,7 +34,10 @@ def frequency_index(df: DataFrame, column: str, out: str, sizes: DataFrame | Non
 def one_hot_vector(df: DataFrame, column: str, out: str, invalid: str = "error") -> PipelineModel:
     """Fitted index and one-hot encoder; the rarest category is the all-zero vector.
 
-    The index holds its labels on the driver, so it suits columns whose categories are few."""
+    The index holds its labels on the driver, so their number is counted first."""
+    categories = df.agg(F.count_distinct(column)).first()[0]
+    if categories > MAX_SMALL_ROWS:
+        raise ValueError(f"{column} has {categories} categories, more than {MAX_SMALL_ROWS}; use frequency_index")
     index = StringIndexer(inputCol=column, outputCol=f"{column}_index", handleInvalid=invalid)
     return Pipeline(stages=[index, OneHotEncoder(inputCol=f"{column}_index", outputCol=out)]).fit(df)
 
@@ -92,6 +95,11 @@ def fit_pca(df: DataFrame, column: str, out: str, components: int = 50) -> Pipel
     return Pipeline(stages=[center, pca]).fit(df)
 
 
+def explained_variance(fitted: PipelineModel) -> list[float]:
+    """Share of the whole variance that each component of `fit_pca` explains, largest first."""
+    return [float(v) for v in fitted.stages[-1].explainedVariance]
+
+
 def grid_cell(lat: str, lon: str, degrees: float) -> Column:
     """Id of the equal-angle cell a position lies in."""
     row = F.floor((F.col(lat) + 90) / F.lit(float(degrees)))

@@ -37,7 +37,9 @@ def quantiles(
         return df.groupBy(*keys).agg(*sketch)
     if largest_group(df, keys) <= max_rows:
         return df.groupBy(*keys).agg(*[F.percentile(c, points).alias(c) for c in cols])
-    return _from_brackets(df, cols, probs, list(keys), max_rows)
+    found = _from_brackets(df, cols, probs, list(keys), max_rows)
+    # Groups without any value have no bracket; they stay, with null.
+    return join_keys(df.select(*keys).distinct(), found, keys) if keys else found
 
 
 def _from_brackets(df, cols, probs, keys, max_rows) -> DataFrame:
@@ -123,7 +125,10 @@ def _wide(picked: DataFrame, cols: Sequence[str], probs: Sequence[float], keys:
     def one(c: str, i: int) -> Column:
         return F.max(F.when((F.col("column") == c) & (F.col("point") == i), F.col("value")))
 
-    return picked.groupBy(*keys).agg(*[F.array(*[one(c, i) for i in range(len(probs))]).alias(c) for c in cols])
+    def many(c: str) -> Column:
+        return F.when(one(c, 0).isNotNull(), F.array(*[one(c, i) for i in range(len(probs))]))
+
+    return picked.groupBy(*keys).agg(*[many(c).alias(c) for c in cols])
 
 
 def quantile_values(

@@ -8,12 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwise.functions.columns import float_columns, numeric_columns
+from parcelwise.functions.columns import float_columns, nan_to_null, numeric_columns
 from parcelwise.operators.joins import shared_columns, tag_and_union
 from parcelwise.operators.ordering import running_sum
 from parcelwise.operators.quantiles import quantile_values
 from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side, written
-from parcelwise.schemas import REQUEST_RANGES, REQUEST_REQUIRED, SALE_RULES, Rule
+from parcelwise.schemas import (
+    REQUEST_RANGES,
+    REQUEST_REQUIRED,
+    SALE_RULES,
+    SERVICE_POSITIVE,
+    SERVICE_RANGES,
+    SERVICE_REQUIRED,
+    ZIPCODE_PATTERN,
+    Rule,
+)
 
 FAMILIES = {
     "float": (T.FloatType, T.DoubleType, T.DecimalType),
@@ -134,6 +143,7 @@ def outliers_iqr(
     df: DataFrame, row_key: Sequence[str], cols: Sequence[str], multiplier: float = 1.5, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Long rows (key, column, value, low, high) for values outside the quartile fences."""
+    df = nan_to_null(df, cols)
     found = quantile_values(df, cols, [0.25, 0.75], max_rows=max_rows)
     fences = {}
     for c, (q1, q3) in found.items():
@@ -144,6 +154,7 @@ def outliers_iqr(
 
 def outliers_zscore(df: DataFrame, row_key: Sequence[str], cols: Sequence[str], limit: float = 3.0) -> DataFrame:
     """Values further than `limit` population deviations from the mean; a constant column has none."""
+    df = nan_to_null(df, cols)
     aggs = [a for c in cols for a in (F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]
     row = df.agg(*aggs).first()
     fences = {}
@@ -182,6 +193,22 @@ def request_reasons(
     return F.array_compact(F.array(*checks))
 
 
+def service_reasons() -> Column:
+    """Reasons of the second request rule set, with positions and a zipcode pattern.
+
+    Only the required fields have to be there; NaN counts as absent."""
+    def told(c: str, bad: Column, text: str) -> Column:
+        return F.when(bad, F.lit(f"{c} {text}"))
+
+    checks = [told(c, F.col(c).isNull(), "is required") for c in SERVICE_REQUIRED]
+    for c, (low, high) in SERVICE_RANGES.items():
+        outside = F.col(c) > high if low is None else ~F.col(c).between(low, high)
+        checks.append(told(c, outside, "is out of range"))
+    checks += [told(c, F.col(c) <= 0, "is not above 0") for c in SERVICE_POSITIVE]
+    checks.append(told("zipcode", ~F.col("zipcode").rlike(ZIPCODE_PATTERN), "is no zipcode"))
+    return F.array_compact(F.array(*checks))
+
+
 def validate_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with `reasons`)."""
     checked = df.withColumn("reasons", request_reasons())

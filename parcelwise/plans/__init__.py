@@ -7,6 +7,7 @@ from parcelwise.plans import (  # noqa: F401
     modeling,
     quality,
     scans,
+    solvable,
     streams,
 )
 from parcelwise.plans.catalog import QUERIES, SQL  # noqa: F401

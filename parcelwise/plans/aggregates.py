@@ -28,7 +28,7 @@ from parcelwise.plans.catalog import (
     rnd,
     with_sales,
 )
-from parcelwise.schemas import PRICE_BOUNDS
+from parcelwise.schemas import PRICE_BOUNDS, REQUEST_SECONDS_BOUNDS, SIZE_BOUNDS
 from parcelwise.sources.files import concat
 from parcelwise.sources.sample_tables import (
     customer_ids,
@@ -324,6 +324,33 @@ def a14(spark, folder):
     return rows.withColumn("total", near("total", 2))
 
 
+@query(
+    "a14_latency_buckets",
+    f"""WITH {REQUESTS} SELECT endpoint, le, CASE WHEN le = CAST('inf' AS DOUBLE) THEN count(*)
+               ELSE count(*) FILTER (WHERE latency_ms / 1000 <= le) END AS cumulative, count(*) AS n,
+          {rnd("sum(latency_ms / 1000)", 4)} AS total
+        FROM log, (SELECT CAST(unnest([{", ".join(map(str, REQUEST_SECONDS_BOUNDS))}, CAST('inf' AS DOUBLE)]) AS DOUBLE) AS le)
+        GROUP BY endpoint, le""",
+)
+def a14_latency(spark, folder):
+    rows = request_log(spark, folder).withColumn("seconds", F.col("latency_ms") / 1000)
+    found = agg.bucketed_histogram(rows, ["endpoint"], "seconds", REQUEST_SECONDS_BOUNDS)
+    return found.withColumn("total", near("total", 4))
+
+
+@query(
+    "a14_size_buckets",
+    f"""SELECT lang, le, CASE WHEN le = CAST('inf' AS DOUBLE) THEN count(*)
+               ELSE count(*) FILTER (WHERE strlen(text) <= le) END AS cumulative, count(*) AS n,
+          CAST(sum(strlen(text)) AS BIGINT) AS total
+        FROM documents, (SELECT CAST(unnest([{", ".join(map(str, SIZE_BOUNDS))}, CAST('inf' AS DOUBLE)]) AS DOUBLE) AS le)
+        GROUP BY lang, le""",
+)
+def a14_size(spark, folder):
+    bodies = spark.read.parquet(f"{folder}/documents.parquet").withColumn("bytes", F.octet_length("text").cast("long"))
+    return agg.bucketed_histogram(bodies, ["lang"], "bytes", SIZE_BOUNDS)
+
+
 @query(
     "a15_hit_ratio",
     f"""WITH {REQUESTS} SELECT model_version, count(*) FILTER (WHERE endpoint = 'view') AS hits,
@@ -584,7 +611,8 @@ def j5(spark, folder):
     return scored.select("model_version", F.col("n").alias("matched"), "waiting", near("mae").alias("mae"))
 
 
-REUSE = """asked AS (SELECT event_id, ts, md5(concat_ws('|', 'endpoint=' || 'v' || event_type, 'user_id=' || 'v' || CAST(user_id AS VARCHAR))) AS fingerprint
+REUSE = """asked AS (SELECT event_id, ts, md5(concat_ws('|', 'endpoint=v' || length(event_type) || ':' || event_type,
+               'user_id=v' || length(CAST(user_id AS VARCHAR)) || ':' || CAST(user_id AS VARCHAR))) AS fingerprint
              FROM events),
   results AS (SELECT fingerprint, ts + INTERVAL 20 MINUTE AS result_ts, CAST(event_id AS DOUBLE) AS price FROM asked)"""
 

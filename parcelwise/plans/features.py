@@ -26,6 +26,7 @@ from parcelwise.operators.cleaning import (
 from parcelwise.operators.encoding import (
     FeatureFit,
     assemble,
+    explained_variance,
     fit_pca,
     fit_robust_scale,
     fit_top_categories,
@@ -35,7 +36,7 @@ from parcelwise.operators.encoding import (
 )
 from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, near, query, rnd, with_sales
 from parcelwise.scale import written
-from parcelwise.schemas import REQUEST_VECTOR
+from parcelwise.schemas import BATCH_VECTOR, REQUEST_VECTOR, SERVICE_VECTOR
 from parcelwise.sources.sample_tables import SALE_ORDER, sales, sales_dirty, table
 
 # ---------------------------------------------------------------- cleaning
@@ -392,7 +393,7 @@ def f15(spark, folder):
 
 FINGERPRINTED = ["square_feet", "bedrooms", "bathrooms", "zipcode", "pool"]
 FINGERPRINT_SQL = "md5(concat_ws('|', {}))".format(
-    ", ".join(f"'{c}=' || coalesce('v' || CAST({c} AS VARCHAR), 'n')" for c in sorted(FINGERPRINTED))
+    ", ".join(f"'{c}=' || coalesce('v' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in sorted(FINGERPRINTED))
 )
 
 
@@ -556,10 +557,10 @@ def e7(spark, folder):
 
 @query("e8_fit_then_apply")
 def e8(spark, folder):
-    rows = written(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)), "properties")
+    rows = written(keep_first(sales(spark, folder), list(ID), list(SALE_ORDER)), "sales")
     old = F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz")
     fit = FeatureFit(exclude=(*ID, "price"), components=10).fit(rows.filter(old))
-    return fit.apply(rows).select("property_id", vector_to_array("projected").alias("projected"))
+    return fit.apply(rows).select(*ID, vector_to_array("projected").alias("projected"))
 
 
 FITTED = ["square_feet", "property_age", "sale_month", "price_std"]
@@ -575,9 +576,9 @@ def _scaled_sql(c: str) -> str:
 @query(
     "e8_fit_on_past_apply_to_all",
     with_sales(
-        "SELECT property_id, " + ", ".join(f"{_scaled_sql(c)} AS {c}" for c in FITTED) + " FROM prepared",
+        f"SELECT {ID_SQL}, " + ", ".join(f"{_scaled_sql(c)} AS {c}" for c in FITTED) + " FROM prepared",
         """firsts AS (SELECT * FROM sales QUALIFY row_number() OVER (
-             PARTITION BY property_id ORDER BY sale_date, l_orderkey, l_linenumber) = 1)""",
+             PARTITION BY property_id, l_orderkey, l_linenumber, sale_date ORDER BY sale_date) = 1)""",
         f"""stats AS (SELECT zipcode, round(stddev_samp(price), 2) AS price_std FROM firsts
               WHERE sale_date < TIMESTAMP '{FIT_CUT}' GROUP BY zipcode)""",
         """prepared AS (SELECT firsts.* REPLACE (square_feet AS square_feet), coalesce(price_std, 0) AS price_std,
@@ -586,15 +587,74 @@ def _scaled_sql(c: str) -> str:
     ),
 )
 def e8_past(spark, folder):
-    rows = written(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)), "properties")
+    rows = written(keep_first(sales(spark, folder), list(ID), list(SALE_ORDER)), "sales")
     past = rows.filter(F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz"))
     fit = FeatureFit(exclude=(*ID, "price")).fit(past)
     values = vector_to_array("features")
     return fit.apply(rows).select(
-        "property_id", *[near(values[fit.columns.index(c)], 6).alias(c) for c in FITTED]
+        *ID, *[near(values[fit.columns.index(c)], 6).alias(c) for c in FITTED]
     )
 
 
+@query(
+    "e5_explained_variance",
+    with_sales(
+        f"""SELECT component, {rnd("share", 6)} AS explained FROM (
+              SELECT unnest([1, 2]) AS component, (a + c) / 2 AS mid, sqrt(((a - c) / 2) ** 2 + b ** 2) AS off,
+                ((a + c) / 2 + CASE WHEN component = 1 THEN 1 ELSE -1 END * off) / (a + c) AS share
+              FROM (SELECT covar_samp(bathrooms, bathrooms) AS a, covar_samp(bathrooms, condition_score) AS b,
+                      covar_samp(condition_score, condition_score) AS c FROM sales))"""
+    ),
+)
+def e5_variance(spark, folder):
+    vectors = assemble(sales(spark, folder), ["bathrooms", "condition_score"])
+    shares = explained_variance(fit_pca(vectors, "features", "projected"))
+    table = spark.createDataFrame(list(enumerate(shares, 1)), "component INT, explained DOUBLE")
+    return table.withColumn("explained", near("explained", 6))
+
+
+VECTOR_PARTS = (
+    "square_feet + bedrooms + bathrooms + year_built + {lot} + CAST(pool AS INTEGER) + CAST(fireplace AS INTEGER) "
+    "+ garage_spaces + condition_score + (2024 - year_built) + (2024 - year_built) * (2024 - year_built) "
+    "+ square_feet / (bedrooms + 1)"
+)
+BATCH_SQL = (
+    VECTOR_PARTS.format(lot="coalesce(lot_size, 0)") + " + bedrooms / (bathrooms + 1) + ln(1 + square_feet) "
+    "+ CAST(2024 - year_built < 5 AS INTEGER) + CAST(2024 - year_built > 50 AS INTEGER)"
+)
+SERVICE_SUM_SQL = VECTOR_PARTS.format(lot="coalesce(lot_size, square_feet * 0.2)") + " + bathrooms / (bedrooms + 1)"
+NO_LOT = "lots AS (SELECT * REPLACE (CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE lot_size END AS lot_size) FROM sales)"
+
+
+def _vector_sum(df, width):
+    values = vector_to_array("features")
+    return assemble(df, width).select(
+        *ID, F.size(values).alias("width"), near(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 3).alias("total")
+    )
+
+
+def _without_some_lots(spark, folder):
+    lot = F.when(F.col("l_linenumber") % 3 != 0, F.col("lot_size"))
+    return sales(spark, folder).withColumn("lot_size", lot)
+
+
+@query(
+    "e6_batch_vector",
+    with_sales(f"SELECT {ID_SQL}, {len(BATCH_VECTOR)} AS width, {rnd(BATCH_SQL, 3)} AS total FROM lots", NO_LOT),
+)
+def batch_vector(spark, folder):
+    return _vector_sum(feats.batch_features(_without_some_lots(spark, folder)), BATCH_VECTOR)
+
+
+@query(
+    "e6_service_vector",
+    with_sales(f"SELECT {ID_SQL}, {len(SERVICE_VECTOR)} AS width, {rnd(SERVICE_SUM_SQL, 3)} AS total FROM lots", NO_LOT),
+)
+def service_vector(spark, folder):
+    rows = feats.request_features(_without_some_lots(spark, folder))
+    return _vector_sum(rows, SERVICE_VECTOR)
+
+
 @query(
     "e6_request_vector",
     with_sales(

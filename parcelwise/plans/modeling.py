@@ -32,16 +32,22 @@ from parcelwise.schemas import REQUEST_VECTOR
 from parcelwise.sources.sample_tables import SALE_ORDER, prediction_log, sales, table
 
 ORDER = ["sale_date", "property_id", "l_orderkey", "l_linenumber"]
+SALE_KEY = ["property_id", "l_orderkey", "l_linenumber", "sale_date"]
 
 
 def model_rows(spark, folder):
-    """One assembled row per property: key, date, price, label, features."""
-    first = domain_filter(keep_first(sales(spark, folder), ["property_id"], list(SALE_ORDER)))
+    """One assembled row per sale: key, date, price, label, features."""
+    first = domain_filter(keep_first(sales(spark, folder), SALE_KEY, list(SALE_ORDER)))
     ready = sanitize(request_features(with_label(first)), REQUEST_VECTOR)
-    rows = assemble(ready, REQUEST_VECTOR).select("property_id", "sale_date", "price", "label", "features")
+    rows = assemble(ready, REQUEST_VECTOR).select(*SALE_KEY, "price", "label", "features")
     return written(rows, "model-rows")
 
 
+def explained_rows(rows):
+    """The first sale of each property: the rows that are explained by a model of all sales."""
+    return written(keep_first(rows, ["property_id"], list(SALE_ORDER)), "explained-rows")
+
+
 def _by_date(rows):
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
     return rows.filter(F.col("sale_date") < cut), rows.filter(F.col("sale_date") >= cut)
@@ -177,8 +183,8 @@ def m5(spark, folder):
 @query("m5_backtest_predictions")
 def m5_predictions(spark, folder):
     rows = model_rows(spark, folder)
-    start, end = datetime(1996, 1, 1), datetime(1996, 2, 15)
-    return backtest(rows, "sale_date", start, end, _forest(), keep=["property_id"])
+    start, end = datetime(1996, 1, 1), datetime(1996, 5, 1)
+    return backtest(rows, "sale_date", start, end, _forest(), keep=[c for c in SALE_KEY if c != "sale_date"])
 
 
 # ---------------------------------------------------------------- training
@@ -208,8 +214,8 @@ def m9(spark, folder):
 
 @query("m10_cross_validation")
 def m10(spark, folder):
-    placed = written(sp.chronological_position(model_rows(spark, folder), ["sale_date", "property_id"], "sale_date"), "cv")
-    return cross_validate(placed, sp.fold_table(placed.count(), 3), _forest())[1]
+    placed = written(sp.chronological_position(model_rows(spark, folder), ORDER, "sale_date"), "cv")
+    return cross_validate(placed, sp.fold_table(placed.count(), 5), _forest())[1]
 
 
 @query("m11_batch_scoring")
@@ -227,7 +233,7 @@ def m16(spark, folder):
 @query("m17_permutation_importance")
 def m17(spark, folder):
     rows = model_rows(spark, folder)
-    return explain.permutation_importance(_forest().fit(rows), rows, REQUEST_VECTOR, ["property_id"])
+    return explain.permutation_importance(_forest().fit(rows), rows, REQUEST_VECTOR, SALE_KEY)
 
 
 @query("m18_partial_dependence")
@@ -239,19 +245,19 @@ def m18(spark, folder):
 @query("m19_attributions")
 def m19(spark, folder):
     rows = model_rows(spark, folder)
-    background = explain.background_rows(rows, ["property_id"], 20)
+    background = explain.background_rows(rows, SALE_KEY, 20)
     return explain.attributions(
-        _forest().fit(rows), rows, REQUEST_VECTOR, ["property_id"], background, permutations=2
+        _forest().fit(rows), explained_rows(rows), REQUEST_VECTOR, ["property_id"], background, permutations=2
     )
 
 
 @query("m20_interaction_strength")
 def m20(spark, folder):
     rows = model_rows(spark, folder)
-    background = explain.background_rows(rows, ["property_id"], 5)
+    background = explain.background_rows(rows, SALE_KEY, 20)
     pair = ("square_feet", "condition_score")
     return explain.interaction_strength(
-        _forest().fit(rows), rows, REQUEST_VECTOR, ["property_id"], pair, background
+        _forest().fit(rows), explained_rows(rows), REQUEST_VECTOR, ["property_id"], pair, background
     )
 
 

@@ -202,6 +202,40 @@ def v11_valid(spark, folder):
     return val.validate_requests(sales_dirty(spark, folder))[0].select(*ID)
 
 
+SERVICE_SQL = """list_filter([
+  CASE WHEN square_feet IS NULL THEN 'square_feet is required' END,
+  CASE WHEN bedrooms IS NULL THEN 'bedrooms is required' END,
+  CASE WHEN bathrooms IS NULL THEN 'bathrooms is required' END,
+  CASE WHEN year_built IS NULL THEN 'year_built is required' END,
+  CASE WHEN zipcode IS NULL THEN 'zipcode is required' END,
+  CASE WHEN square_feet > 50000 THEN 'square_feet is out of range' END,
+  CASE WHEN bedrooms NOT BETWEEN 0 AND 20 THEN 'bedrooms is out of range' END,
+  CASE WHEN bathrooms NOT BETWEEN 0 AND 15 THEN 'bathrooms is out of range' END,
+  CASE WHEN year_built NOT BETWEEN 1800 AND 2024 THEN 'year_built is out of range' END,
+  CASE WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude is out of range' END,
+  CASE WHEN longitude NOT BETWEEN -180 AND 180 THEN 'longitude is out of range' END,
+  CASE WHEN garage_spaces NOT BETWEEN 0 AND 10 THEN 'garage_spaces is out of range' END,
+  CASE WHEN condition_score NOT BETWEEN 1 AND 10 THEN 'condition_score is out of range' END,
+  CASE WHEN square_feet <= 0 THEN 'square_feet is not above 0' END,
+  CASE WHEN lot_size <= 0 THEN 'lot_size is not above 0' END,
+  CASE WHEN NOT regexp_matches(zipcode, '^[0-9]{5}$') THEN 'zipcode is no zipcode' END], lambda x: x IS NOT NULL)"""
+
+
+@query(
+    "v11_service_rules",
+    with_sales(
+        f"SELECT {ID_SQL}, array_to_string({SERVICE_SQL}, '; ') AS reasons FROM requests",
+        DIRTY,
+        "requests AS (SELECT * REPLACE (condition_score + 2 AS condition_score, latitude * 2 AS latitude) FROM dirty)",
+    ),
+)
+def v11_service(spark, folder):
+    rows = sales_dirty(spark, folder).withColumns(
+        {"condition_score": F.col("condition_score") + 2, "latitude": F.col("latitude") * 2}
+    )
+    return rows.select(*ID, F.concat_ws("; ", val.service_reasons()).alias("reasons"))
+
+
 KS_COLUMNS = ["price", "square_feet", "condition_score"]
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ MAX_GROUP_ROWS = 2_000_000
 MAX_SMALL_ROWS = 100_000
 """Rows a lookup side may have to be broadcast."""
 
+MAX_SMALL_BYTES = 64 * 1024**2
+"""Bytes of values a lookup side may have to be broadcast."""
+
 _local_root: dict[str, str] = {}
 
 
@@ -33,7 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors can reach")
     return _local_root.setdefault(context.applicationId, tempfile.mkdtemp(prefix="parcelwise-"))
 
@@ -52,32 +57,53 @@ def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_rows(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame | None:
-    """`df` as a local frame if it has at most `max_rows` rows, else None."""
-    bounded = df.limit(max_rows + 1)
-    if any(isinstance(f.dataType, NESTED) for f in df.schema.fields):
-        # Arrow refuses a null struct whose fields are declared non-null, so nested rows come as objects.
-        fetched = bounded.collect()
-        count = len(fetched)
-    else:
-        fetched = bounded.toArrow()
-        count = fetched.num_rows
-    if count > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(fetched, schema=_nullable(df.schema))
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row's values: text and binary as they are, nested ones as JSON, 8 for all others."""
+    sizes = [F.lit(0).cast("long")]
+    for field in schema.fields:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(col), F.lit(0)).cast("long"))
+        elif isinstance(field.dataType, NESTED):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)).cast("long"))
+        else:
+            sizes.append(F.lit(8).cast("long"))
+    return reduce(add, sizes)
+
+
+def _measured(df: DataFrame, max_rows: int, max_bytes: int) -> tuple[DataFrame, DataFrame | None]:
+    """(`df` read back from a written copy, the same as a local frame if it is within both bounds).
+
+    Rows and bytes are counted where they are; nothing is fetched before the counts are known, and a
+    large frame is not computed a second time."""
+    stored = written(df, "lookup")
+    rows, size = stored.agg(F.count(F.lit(1)), F.sum(_row_bytes(df.schema))).first()
+    if rows > max_rows or (size or 0) > max_bytes:
+        return stored, None
+    # Arrow refuses a null struct whose fields are declared non-null, so nested rows come as objects.
+    nested = any(isinstance(f.dataType, NESTED) for f in df.schema.fields)
+    fetched = stored.collect() if nested else stored.toArrow()
+    return stored, df.sparkSession.createDataFrame(fetched, schema=_nullable(df.schema))
+
+
+def small_rows(
+    df: DataFrame, max_rows: int = MAX_SMALL_ROWS, max_bytes: int = MAX_SMALL_BYTES
+) -> DataFrame | None:
+    """`df` as a local frame if it has at most `max_rows` rows and `max_bytes` bytes, else None."""
+    return _measured(df, max_rows, max_bytes)[1]
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def lookup_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """Join side that is broadcast when its row count was checked to be small.
+def lookup_side(df: DataFrame, max_rows: int = MAX_SMALL_ROWS, max_bytes: int = MAX_SMALL_BYTES) -> DataFrame:
+    """Join side that is broadcast when its rows and bytes were counted and are few.
 
-    Beyond the bound the frame is returned as it is: Spark then shuffles both sides and the
-    adaptive skew join splits hot keys."""
-    local = small_rows(df, max_rows)
-    return df if local is None else F.broadcast(local)
+    Beyond the bounds the written copy is returned: Spark then shuffles both sides and the adaptive
+    skew join splits hot keys."""
+    stored, local = _measured(df, max_rows, max_bytes)
+    return stored if local is None else F.broadcast(local)
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -96,6 +96,12 @@ BATCH_VECTOR = (
     "bed_bath_ratio", "log_sqft", "is_new", "is_old",
 )
 
+SERVICE_VECTOR = (
+    "square_feet", "bedrooms", "bathrooms", "year_built", "lot_size", "pool", "fireplace",
+    "garage_spaces", "condition_score", "property_age", "property_age_squared", "sqft_per_bedroom",
+    "bath_bedroom_ratio",
+)
+
 # Derived-feature catalogue (name, type, expression).
 FEATURE_CATALOGUE = (
     ("property_age", "int", "2024 - year_built"),
@@ -122,7 +128,22 @@ THRESHOLDS = (
     ("cache_hit_ratio", "below", 0.3),
 )
 
-# Request and message payload.
+# Ranges of the second request rule set; None is open. Its size and lot are above 0.
+SERVICE_RANGES = {
+    "square_feet": (None, 50000),
+    "bedrooms": (0, 20),
+    "bathrooms": (0, 15),
+    "year_built": (1800, 2024),
+    "latitude": (-90, 90),
+    "longitude": (-180, 180),
+    "garage_spaces": (0, 10),
+    "condition_score": (1, 10),
+}
+SERVICE_POSITIVE = ("square_feet", "lot_size")
+SERVICE_REQUIRED = ("square_feet", "bedrooms", "bathrooms", "year_built", "zipcode")
+ZIPCODE_PATTERN = "^[0-9]{5}$"
+
+# Request and message payload.
 REQUEST_SCHEMA = T.StructType(
     [
         T.StructField("property_id", T.StringType()),

@@ -17,7 +17,9 @@ SMALL_WINDOWS = {
     "m2_nested_split",
     "m3_time_series_folds",
     "m4_expanding_windows",
+    "m10_linear_folds",
     "m5_backtest_periods",
+    "m5_linear_backtest",
     "w7_chronological_position",
 }
 

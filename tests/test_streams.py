@@ -1,13 +1,14 @@
 """Streams: late rows, damaged messages, replays, state."""
 
 import json
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from parcelwise.scale import fresh_path
 from parcelwise.streaming import ingest, monitors
-from parcelwise.streaming.sources import drain_to_files, file_messages, late_rows
+from parcelwise.streaming.sources import LateRows, drain_to_files, file_messages, late_rows
 
 START = datetime(2024, 1, 1)
 LOG = "event_id BIGINT, client INT, ts TIMESTAMP, status INT, latency_ms DOUBLE"
@@ -69,11 +70,19 @@ def test_late_requests_are_counted(spark):
     steps = [[call(1, 0), call(2, 1, 500)], [call(3, 60)], [call(4, 70)], [call(5, 2), call(6, 71)], [call(7, 200)]]
     path = write_steps(spark, steps, LOG)
     windows = monitors.windowed_requests(read_steps(spark, path, LOG), size="5 minutes", slide="5 minutes")
+    listener = LateRows()
+    spark.streams.addListener(listener)
     rows, query = drain_to_files(windows, "late")
     found = {r["window_start"]: (r["n"], r["errors"]) for r in rows.collect()}
     at = {m: START + timedelta(minutes=m) for m in (60, 70)}
     assert found == {START: (2, 1), at[60]: (1, 0), at[70]: (2, 0)}
     assert late_rows(query) == 1
+    for _ in range(100):
+        if listener.counts[str(query.runId)]:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert listener.counts[str(query.runId)] == 1
 
 
 def test_admission_state_crosses_batches(spark):
