@@ -17,10 +17,9 @@ like the results are replaced.
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,9 @@ from parcelwise.scale import written
 
 LETTERS = regex.compile(r"\p{L}+")
 GRAMS = (5, 4, 3, 2, 1)
-CAPACITY = 200_000
+MARKS = ".,;:!?"
+"""Marks around a token that are no letters; a token without them scores the same."""
+CAPACITY = 100_000
 SMOOTHING = 0.5
 UNDECIDED = "und"
 KEPT_COUNTS = 500_000
@@ -47,9 +48,11 @@ def grams(word: str, n: int) -> list[str]:
     return [edged[i : i + n] for i in range(len(edged) - n + 1)]
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    langs, tokens = zip(*counts, strict=True) if counts else ((), ())
-    columns = [pa.array(langs, pa.string()), pa.array(tokens, pa.string()), pa.array(counts.values(), pa.int64())]
+def _counted(counts: dict[str, Counter]) -> pa.RecordBatch:
+    langs = [lang for lang, own in counts.items() for _ in own]
+    tokens = [token for own in counts.values() for token in own]
+    n = [n for own in counts.values() for n in own.values()]
+    columns = [pa.array(langs, pa.string()), pa.array(tokens, pa.string()), pa.array(n, pa.int64())]
     return pa.RecordBatch.from_arrays(columns, ["lang", "token", "n"])
 
 
@@ -57,22 +60,21 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(lang, token, n) of all words of `training` (lang, text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw: Counter = Counter()
+        raw: dict[str, Counter] = defaultdict(Counter)
 
         def words() -> pa.RecordBatch:
-            out: Counter = Counter()
-            for (lang, token), n in raw.items():
-                for word in LETTERS.findall(token):
-                    out[lang, word] += n
+            out: dict[str, Counter] = defaultdict(Counter)
+            for lang, own in raw.items():
+                for token, n in own.items():
+                    for word in LETTERS.findall(token):
+                        out[lang][word] += n
             raw.clear()
             return _counted(out)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = Counter(text.as_py().lower().split())
-                for token, n in own.items():
-                    raw[lang, token] += n
-                if len(raw) > KEPT_COUNTS:
+                raw[lang].update(text.as_py().lower().split())
+                if sum(map(len, raw.values())) > KEPT_COUNTS:
                     yield words()
         yield words()
 
@@ -84,13 +86,13 @@ def gram_counts(words: DataFrame) -> DataFrame:
     """(lang, token, n): in how many distinct words of the language each n-gram occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: Counter = Counter()
+        out: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                out.update({(lang, g) for n in GRAMS for g in grams(word, n)})
-                if len(out) > KEPT_COUNTS:
-                    yield _counted(out)
-                    out.clear()
+                out[lang].update({g for n in GRAMS for g in grams(word, n)})
+            if sum(map(len, out.values())) > KEPT_COUNTS:
+                yield _counted(out)
+                out.clear()
         yield _counted(out)
 
     counted = words.select("lang", "token").mapInArrow(count, "lang string, token string, n long")
@@ -124,7 +126,6 @@ class Model:
     word_logs: np.ndarray
     grams: pa.Array
     gram_logs: np.ndarray
-    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def _logs(table: pa.Table, totals: dict, languages: list[str], kind) -> tuple[pa.Array, np.ndarray]:
@@ -164,49 +165,51 @@ class Scorer(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
-        self.words = {w: i for i, w in enumerate(model.words.to_pylist())}
-        self.grams = {g: i for i, g in enumerate(model.grams.to_pylist())}
+        self.languages = model.languages
+        self.words = dict(zip(model.words.to_pylist(), model.word_logs.tolist(), strict=True))
+        self.grams = dict(zip(model.grams.to_pylist(), model.gram_logs.tolist(), strict=True))
+        self.silent = [0.0] * len(model.languages)
         self.scores = np.zeros((1024, len(model.languages)), np.float64)
+        self.filled = 0
 
-    def word(self, word: str) -> np.ndarray | float:
+    def word(self, word: str) -> list[float]:
         known = self.words.get(word)
         if known is not None:
-            return self.model.word_logs[known]
+            return known
         for n in GRAMS:
             found = [self.grams[g] for g in grams(word, n) if g in self.grams]
             if found:
-                return self.model.gram_logs[found].mean(axis=0)
-        return 0.0
+                return [sum(c) / len(found) for c in zip(*found, strict=True)]
+        return self.silent
 
     def __missing__(self, token: str) -> int:
-        at = len(self)
+        bare = token.strip(MARKS)
+        if bare != token:
+            at = self[token] = self[bare]
+            return at
+        at = self.filled
         if at == len(self.scores):
             self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
-        self.scores[at] = sum((self.word(w) for w in LETTERS.findall(token)), np.zeros(self.scores.shape[1]))
+        words = [token] if token.isascii() and token.isalpha() else LETTERS.findall(token)
+        if words:
+            self.scores[at] = self.word(words[0]) if len(words) == 1 else np.sum([self.word(w) for w in words], axis=0)
+        else:
+            self.scores[at] = self.silent
+        self.filled += 1
         self[token] = at
         return at
 
     def best(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.model.languages or not LETTERS.search(text):
+        if text is None or not self.languages or not LETTERS.search(text):
             return UNDECIDED, 0.0
         if len(self) > KEPT_TOKENS:
             self.clear()
+            self.filled = 0
         tokens = text.lower().split()
         rows = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
         total = self.scores[rows].sum(axis=0)
         at = int(total.argmax())
-        return self.model.languages[at], float(1 / np.exp(total - total[at]).sum())
-
-
-_scorers: dict[str, Scorer] = {}
-
-
-def scorer(model: Model) -> Scorer:
-    if model.key not in _scorers:
-        _scorers.clear()
-        _scorers[model.key] = Scorer(model)
-    return _scorers[model.key]
+        return self.languages[at], float(1 / np.exp(total - total[at]).sum())
 
 
 def language_of(text: Column, model: Model) -> Column:
@@ -214,7 +217,8 @@ def language_of(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = scorer(model)
+        # One store per task: it is bounded, and workers that go on to other work do not keep it.
+        own = Scorer(model)
         for texts in batches:
             found = [own.best(t.as_py()) for t in texts]
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
