@@ -3,17 +3,19 @@
 A window is `window` consecutive words. Words covered by a window that also starts in a document
 with a smaller id are removed; windows are judged on the input.
 
-1. Phrases of `phrase` words are sampled by their content: a phrase is taken where its hash is the
+1. Texts are grouped by a 128-bit hash. Of equal texts, all but the one with the smallest id lose
+   every word (if there are enough for a window) and take no part in what follows.
+2. Phrases of `phrase` words are sampled by their content: a phrase is taken where its hash is the
    smallest of the phrases in some window. Equal windows sample equal phrases, so a window that two
-   documents share holds a phrase that both have sampled. Sampled phrases of two documents or more
-   recur; this is confirmed by a grouped minimum and maximum over all documents.
-2. Documents are dealt to chunks of bounded size. Each chunk compiles the recurring phrases its
+   texts share holds a phrase that both have sampled. Sampled phrases of two texts or more recur;
+   this is confirmed by a grouped minimum and maximum of the texts' hashes over all documents.
+3. Documents are dealt to chunks of bounded size. Each chunk compiles the recurring phrases its
    documents have sampled into an Aho-Corasick automaton over word numbers: the automata are shards
    of one phrase list, each with what its own documents can hold. All documents of the chunk are
    streamed through it, which locates every occurrence, sampled there or not.
-3. Windows around an occurrence are hashed to 128 bits. A chunk keeps the smallest id per window and
+4. Windows around an occurrence are hashed to 128 bits. A chunk keeps the smallest id per window and
    asks all others for a smaller one: one row per window and chunk, however many copies there are.
-4. Chunks cut the documents that hold such windows; all others were finished in step 2.
+5. Chunks cut the documents that hold such windows; all others were finished in step 3.
 
 Defined cases: a null text has no words; texts shorter than a window stay whole; a null id is not
 compared, its text stays whole; rows that repeat an id are one document; equal texts are cut down to
@@ -31,17 +33,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelwise.llm.tables import CHUNK_BYTES, text_bytes
+from parcelwise.llm.tables import stored, text_bytes
 from parcelwise.scale import written
 
 WINDOW, PHRASE = 50, 20
+CHUNK_BYTES = 8 * 1024**2
+"""Text of the documents that share an automaton."""
+
 CACHED_WORDS = 500_000
 """Word hashes a Python worker keeps before it empties the store."""
 
+LETTER_BITS = 6
+"""A word is spelled with letters of so many bits in the automata."""
+
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 """Odd bases of the two rolling hashes."""
 
-FOUND = "chunk long, doc_id long, n_words long, text string, whole boolean, w1 long, w2 long"
+FOUND = "chunk long, doc_id long, n_words long, n_removed long, text string, done boolean, w1 long, w2 long"
 CUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
@@ -109,15 +117,15 @@ def sampled(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(h, chunk, lo, hi): sampled phrases with the smallest and largest id that has them in a batch."""
+    """(h, chunk, lo, hi): sampled phrases with the smallest and largest hash `t` of a batch's texts that have them."""
 
     def sample(batches):
         hashes = WordHashes(0)
         for batch in batches:
             h, chunk, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for doc_id, text, own in zip(
-                batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), batch.column(2).to_pylist(), strict=True
-            ):
+            names = ("doc_id", "chunk", "t")
+            rows = zip(*(batch.column(c).to_pylist() for c in names), batch.column("text").cast(pa.binary()), strict=True)
+            for doc_id, own, name, text in rows:
                 words = (text.as_py() or b"").split()
                 if len(words) < window or doc_id is None:
                     continue
@@ -128,7 +136,7 @@ def phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
                 taken = np.unique(grams[sampled(grams, window - phrase + 1)])
                 h.append(taken)
                 chunk.append(np.full(len(taken), own))
-                ids.append(np.full(len(taken), doc_id))
+                ids.append(np.full(len(taken), name))
             h, chunk, ids = np.concatenate(h), np.concatenate(chunk), np.concatenate(ids)
             order = np.lexsort((ids, chunk, h))
             h, chunk, ids = h[order], chunk[order], ids[order]
@@ -143,14 +151,14 @@ def phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 class Chunk:
-    """The distinct texts of a chunk with an id, as word numbers; `copy_of` names the first of each row."""
+    """The rows of a chunk; `least` has the smallest id of each distinct text that takes part."""
 
-    def __init__(self, docs: pa.Table):
+    def __init__(self, docs: pa.Table, copies: frozenset = frozenset()):
         self.ids = docs.column("doc_id").to_pylist()
         self.texts = [t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()]
         self.least: dict[bytes, int] = {}
         for doc_id, text in zip(self.ids, self.texts, strict=True):
-            if doc_id is not None:
+            if doc_id is not None and doc_id not in copies:
                 self.least[text] = min(doc_id, self.least.get(text, doc_id))
         self.numbers = WordNumbers()
 
@@ -163,24 +171,42 @@ class Chunk:
         return np.fromiter((xxh3_64_intdigest(w, seed) for w in self.numbers), np.uint64, len(self.numbers))
 
 
+def _letters(numbers: np.ndarray, rank: np.ndarray, width: int) -> tuple:
+    """Each word as `width` letters, one alphabet per place: the automaton searches a node's edges one by
+    one, so no node may have an edge per word."""
+    digits = (rank[numbers][:, None] >> (LETTER_BITS * np.arange(width))) & ((1 << LETTER_BITS) - 1)
+    return tuple((digits + (np.arange(width) << LETTER_BITS)).ravel().tolist())
+
+
 def _occurrences(streams: dict[bytes, np.ndarray], grams: dict, recurring: np.ndarray, window: int, phrase: int):
     """Starts of recurring phrases in each text: the chunk's automaton, run over all its texts."""
     import ahocorasick
 
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    recurring = np.sort(recurring)
+    phrases: dict[bytes, np.ndarray] = {}
     for text, numbers in streams.items():
         own = grams[text]
         at = sampled(own, window - phrase + 1)
-        for start in at[np.isin(own[at], recurring)].tolist():
-            automaton.add_word(tuple(numbers[start : start + phrase].tolist()), 1)
-    if not len(automaton):
+        near = np.minimum(np.searchsorted(recurring, own[at]), len(recurring) - 1)
+        for start in at[recurring[near] == own[at]].tolist():
+            words = numbers[start : start + phrase]
+            phrases[words.tobytes()] = words
+    if not phrases:
         return {}
+    # Words of phrases are ranked from 1; all others are 0, which no phrase has.
+    used = np.unique(np.concatenate(list(phrases.values())))
+    rank = np.zeros(max(int(n.max()) for n in streams.values()) + 1, np.int64)
+    rank[used] = np.arange(1, len(used) + 1)
+    width = -(-int(len(used)).bit_length() // LETTER_BITS)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    for words in phrases.values():
+        automaton.add_word(_letters(words, rank, width), 1)
     automaton.make_automaton()
     found = {}
     for text, numbers in streams.items():
-        ends = [end for end, _ in automaton.iter(tuple(numbers.tolist()))]
+        ends = [end for end, _ in automaton.iter(_letters(numbers, rank, width))]
         if ends:
-            found[text] = np.array(ends) - (phrase - 1)
+            found[text] = np.array(ends) // width - (phrase - 1)
     return found
 
 
@@ -193,25 +219,27 @@ def _least_ids(w1: np.ndarray, w2: np.ndarray, ids: np.ndarray) -> tuple[np.ndar
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def _rows(chunk, doc_id, n_words, text, whole, w1=(), w2=(), w_ids=()) -> pa.Table:
-    docs, windows = len(doc_id), len(w1)
-    none = pa.nulls(docs, pa.int64())
+def _rows(chunk: int, docs: list[tuple], w1=(), w2=(), w_ids=()) -> pa.Table:
+    """Rows of documents (doc_id, n_words, n_removed, text, done), then rows of windows."""
+    windows = len(w1)
+    doc_id, n_words, n_removed, text, done = zip(*docs, strict=True)
+    kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "text": pa.string(), "done": pa.bool_()}
     columns = {
-        "chunk": pa.array(np.full(docs + windows, chunk)),
+        "chunk": pa.array(np.full(len(docs) + windows, chunk)),
         "doc_id": pa.chunked_array([pa.array(doc_id, pa.int64()), pa.array(w_ids, pa.int64())]),
-        "n_words": pa.chunked_array([pa.array(n_words, pa.int64()), pa.nulls(windows, pa.int64())]),
-        "text": pa.chunked_array([pa.array(text, pa.string()), pa.nulls(windows, pa.string())]),
-        "whole": pa.chunked_array([pa.array(whole, pa.bool_()), pa.nulls(windows, pa.bool_())]),
-        "w1": pa.chunked_array([none, pa.array(w1, pa.int64())]),
-        "w2": pa.chunked_array([none, pa.array(w2, pa.int64())]),
     }
+    for (name, kind), values in zip(kinds.items(), (n_words, n_removed, text, done), strict=True):
+        columns[name] = pa.chunked_array([pa.array(values, kind), pa.nulls(windows, kind)])
+    for name, values in (("w1", w1), ("w2", w2)):
+        columns[name] = pa.chunked_array([pa.nulls(len(docs), pa.int64()), pa.array(values, pa.int64())])
     return pa.table(columns)
 
 
 def _find(window: int, phrase: int):
-    def find(key: tuple, docs: pa.Table, recurring: pa.Table) -> pa.Table:
-        chunk = Chunk(docs)
-        wanted = recurring.column("h").to_numpy().view(np.uint64)
+    def find(key: tuple, docs: pa.Table, notes: pa.Table) -> pa.Table:
+        copies = frozenset(notes.column("doc_id").drop_null().to_pylist())
+        chunk = Chunk(docs, copies)
+        wanted = notes.column("h").drop_null().to_numpy().view(np.uint64)
         counts, streams = {}, {}
         for text in {*chunk.texts}:
             words = text.split()
@@ -236,14 +264,16 @@ def _find(window: int, phrase: int):
             w1, w2, ids = (np.concatenate(c) for c in (w1, w2, ids))
             order, first, _ = _least_ids(w1, w2, ids)
             w1, w2, ids = (c[order][first] for c in (w1.view(np.int64), w2.view(np.int64), ids))
-        # A text is cut later if it holds a candidate window or is a copy within the chunk.
-        whole, out = [], []
+        rows = []
         for doc_id, text in zip(chunk.ids, chunk.texts, strict=True):
-            copy = doc_id is not None and chunk.least[text] < doc_id and counts[text] >= window
-            whole.append(not copy and (text not in found or doc_id is None))
-            out.append(b" ".join(text.split()).decode() if whole[-1] else text.decode())
-        n_words = [counts[text] for text in chunk.texts]
-        return _rows(key[0].as_py(), chunk.ids, n_words, out, whole, w1, w2, ids)
+            n = counts[text]
+            if doc_id in copies and n >= window:
+                rows.append((doc_id, n, n, "", True))
+            elif doc_id is not None and doc_id not in copies and text in found:
+                rows.append((doc_id, n, 0, text.decode(), False))
+            else:
+                rows.append((doc_id, n, 0, b" ".join(text.split()).decode(), True))
+        return _rows(key[0].as_py(), rows, w1, w2, ids)
 
     return find
 
@@ -286,8 +316,6 @@ def _cut(window: int):
         rows = []
         for doc_id, text in zip(chunk.ids, chunk.texts, strict=True):
             n, removed, left = kept[text]
-            if chunk.least[text] < doc_id and n >= window:
-                removed, left = n, b""
             rows.append((doc_id, n, removed, left.decode()))
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
@@ -308,22 +336,29 @@ def remove_repeats(
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words left, joined by blanks) of every row."""
     chunks = max(1, -(-text_bytes(docs, text) // chunk_bytes))
+    hashed = F.coalesce(F.col(text), F.lit(""))
     dealt = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
         F.pmod(F.xxhash64(doc_id, text), F.lit(chunks)).cast("long").alias("chunk"),
+        F.xxhash64(hashed).alias("t"),
+        F.xxhash64(F.lit(1), hashed).alias("t2"),
     )
-    phrases = written(phrase_rows(dealt, window, phrase), "phrases")
+    slim = written(dealt.where("doc_id is not null").drop("text"), "text-hashes")
+    equal = slim.groupBy("t", "t2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    copies = slim.join(equal.where("least < most"), ["t", "t2"]).where("doc_id > least").select("chunk", "doc_id")
+    phrases = written(phrase_rows(dealt.drop("t2"), window, phrase), "phrases")
     span = phrases.groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("h")
     recurring = phrases.join(span, "h", "left_semi").select("chunk", "h").distinct()
-    found = (
-        dealt.groupBy("chunk").cogroup(recurring.groupBy("chunk")).applyInArrow(_find(window, phrase), FOUND)
+    notes = recurring.select("chunk", "h", F.lit(None).cast("long").alias("doc_id")).union(
+        copies.select("chunk", F.lit(None).cast("long"), "doc_id")
     )
-    found = written(found, "occurrences")
+    rows = dealt.select("chunk", "doc_id", "text")
+    found = rows.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(_find(window, phrase), FOUND)
+    found = stored(found, "occurrences")
     windows = found.where("w1 is not null").select("chunk", "w1", "w2", "doc_id")
     smallest = F.min("doc_id").over(Window.partitionBy("w1", "w2"))
     taken = windows.withColumn("least", smallest).where("least < doc_id").select("chunk", "w1", "w2")
-    held = found.where("whole = false").select("chunk", "doc_id", "text")
+    held = found.where("done = false").select("chunk", "doc_id", "text")
     cut = held.groupBy("chunk").cogroup(taken.groupBy("chunk")).applyInArrow(_cut(window), CUT)
-    whole = found.where("whole = true").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "text")
-    return cut.union(whole)
+    return cut.union(found.where("done = true").select("doc_id", "n_words", "n_removed", "text"))

@@ -20,6 +20,13 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A written copy of a frame with texts, compressed more tightly than the default."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored_chunks(docs: DataFrame, label: str, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """A written copy of `docs` with a column `chunk` that names the file a row lies in.
 
