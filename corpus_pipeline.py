@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelwise.llm import language, quality, simhash, substrings
 from parcelwise.llm.queries import packed_digests
 from parcelwise.llm.tables import documents
-from parcelwise.scale import written
+from parcelwise.scale import lookup_side, written
 
 MIN_LANGUAGE_SCORE = 0.5
 ORACLE_SQL = None
@@ -33,19 +33,28 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group."""
+    """Keeps one document of each group, that with the smallest id."""
     return simhash.one_per_component(docs, simhash.near_duplicates(docs))
 
 
 def repeated_phrase_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated passages out of the texts; texts without any stay as they are, no row is dropped."""
-    cut = written(substrings.remove_repeats(docs).where("n_removed > 0"), "cut-texts")
-    cut = cut.dropDuplicates(["doc_id"]).select("doc_id", F.col("kept").alias("__text"))
-    joined = docs.join(cut, "doc_id", "left")
+    """Takes repeated passages out of the texts; texts without any stay as they are, no row is dropped.
+
+    Of different texts under one id, all but that with the smallest hash count as documents of their
+    own behind all others."""
+    docs = docs.withColumn("__mark", F.xxhash64("text"))
+    shared = docs.where("doc_id is not null").groupBy("doc_id")
+    shared = shared.agg(F.min("__mark").alias("__first"), F.max("__mark").alias("__last")).where("__first < __last")
+    named = docs.join(lookup_side(shared.select("doc_id", "__first")), "doc_id", "left")
+    further = F.shiftrightunsigned(F.xxhash64("doc_id", "__mark"), 2).bitwiseOR(F.lit(1 << 62))
+    named = named.withColumn("__row", F.when(F.col("__mark") != F.col("__first"), further).otherwise(F.col("doc_id")))
+    cut = written(substrings.remove_repeats(named, "__row").where("n_removed > 0"), "cut-texts")
+    cut = cut.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__row"), F.col("kept").alias("__text"))
+    joined = named.join(cut, "__row", "left")
     length = F.length("__text").cast(docs.schema["n_chars"].dataType)
     return joined.withColumns(
         {"text": F.coalesce("__text", "text"), "n_chars": F.coalesce(length, F.col("n_chars"))}
-    ).select(docs.columns)
+    ).select(docs.drop("__mark").columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

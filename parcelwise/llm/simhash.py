@@ -210,17 +210,28 @@ def near_duplicates(
     blocks: int = BLOCKS,
     bucket: int = BUCKET,
 ) -> DataFrame:
-    """doc_id, fp (signed 64-bit fingerprint), component_id (smallest reachable doc_id) of every row."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"))
+    """doc_id, fp (signed 64-bit fingerprint), component_id (smallest reachable doc_id) of every row,
+    with `mark`, a hash of its text, and `root`, a fingerprint that names the component."""
+    slim = docs.select(
+        F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"), F.xxhash64(F.col(text)).alias("mark")
+    )
     slim = written(slim, "fingerprints")
     prints = written(slim.groupBy("fp").agg(F.min("doc_id").alias("own")), "distinct-fingerprints")
     roots = components(near_links(prints, radius, blocks, bucket)).withColumnRenamed("node", "fp")
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     label = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
-    return slim.join(rooted.join(label, "root").select("fp", "component_id"), "fp")
+    return slim.join(rooted.join(label, "root").select("fp", "component_id", "root"), "fp")
 
 
-def one_per_component(docs: DataFrame, assigned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that name their component, one of each."""
-    kept = assigned.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept.distinct(), F.col(doc_id).eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([doc_id])
+def one_per_component(docs: DataFrame, assigned: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: that with the smallest id, a null id last, then the smallest text hash.
+
+    Rows are told apart by id and text, so neither null ids nor an id that different texts share drop
+    a row in favour of another component's."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    kept = assigned.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__kept_mark")
+    )
+    marked = docs.withColumn("__mark", F.xxhash64(F.col(text)))
+    same = F.col(doc_id).eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__kept_mark"))
+    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "__mark"]).drop("__mark")

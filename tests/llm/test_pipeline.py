@@ -75,3 +75,12 @@ def test_odd_rows_in_every_stage(spark, name, stage):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert check_packed(rows) > 0
+
+
+def test_texts_under_one_id_are_cut_on_their_own(spark):
+    passage = " ".join(f"passage{n}" for n in range(60))
+    texts = [" ".join(f"{w}{n}" for n in range(70)) for w in ("alpha", "beta", "gamma")]
+    rows = [(1, texts[0] + " " + passage), (3, texts[1] + " " + passage), (3, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], TABLE)
+    stage = dict(corpus_pipeline.STAGES)["substring_dedup"]
+    assert sorted(r.text for r in stage(spark, docs, SMALL).collect()) == sorted([rows[0][1], texts[1], texts[2]])

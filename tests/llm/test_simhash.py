@@ -76,6 +76,16 @@ def test_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_keep_a_row_of_each_component(spark):
+    texts = [" ".join(f"{w}{n}" for n in range(80)) for w in ("alpha", "beta", "gamma", "delta", "eps")]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3])]
+    rows += [(None, texts[4]), (7, texts[4].upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.one_per_component(docs, simhash.near_duplicates(docs)).collect()
+    expected = [(None, texts[0]), (None, texts[1]), (3, texts[2]), (3, texts[3]), (7, texts[4].upper())]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t in expected)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(500).selectExpr("id AS a", "id + 1 AS b")
     got = {r.node: r.root for r in components(links).collect()}
