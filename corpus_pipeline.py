@@ -20,10 +20,9 @@ ORACLE_SQL = None
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language that the model finds more likely than not."""
-    model = language.learn(docs.where(~language.held_out()).select("text", "lang"))
-    found = docs.withColumn("__found", language.language_of(F.col("text"), model))
-    clear = (F.col("__found.lang_pred") != language.UNDECIDED) & (F.col("__found.score") >= MIN_LANGUAGE_SCORE)
-    return found.where(clear).select(docs.columns)
+    found = language.judged(docs, language.count_tables(docs.where(~language.held_out()).select("text", "lang")))
+    clear = (F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return found.where(clear).select("row.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,10 @@ longest character n-grams (5 down to 1, with word edges) of which the tables kno
 their mean log frequency. A text scores the sum over its words; the probability of the best
 language, with equal priors, is the score.
 
-All words of all training rows are counted. The model then keeps the most frequent words and n-grams
-up to `capacity` each, which bounds what is sent to the workers; rarer words are unseen words.
+All words of all training rows are counted, and all counts stay in tables (`count_tables`). Documents
+are kept in chunks; each chunk sends its distinct words, which are joined to the word counts, or else to
+the n-gram counts, and gets their scores back, so no table is broadcast and no word is left out. `learn`
+is the same model in memory, cut to the most frequent words and n-grams up to `capacity` each.
 
 Defined cases: a null text or one without a letter is `und` with score 0, and so is every text when
 nothing could be learned; a word of which no n-gram is known says nothing; equal scores go to the
@@ -26,7 +28,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from parcelwise.llm.tables import CHUNK_BYTES, stored_chunks
 from parcelwise.scale import written
 
 LETTERS = regex.compile(r"\p{L}+")
@@ -160,6 +164,128 @@ def learn(training: DataFrame, capacity: int = CAPACITY) -> Model:
     return Model(languages, words, word_logs, names, gram_logs)
 
 
+@dataclass
+class Tables:
+    """Counts of all words and n-grams: (token, counts), one entry of `counts` (lang, n) per language.
+
+    `totals` and `sizes` hold all counts per (length, language) and the distinct tokens per length; words
+    have length 0."""
+
+    languages: list[str]
+    words: DataFrame
+    grams: DataFrame
+    totals: dict[tuple[int, str], int]
+    sizes: dict[int, int]
+
+
+def count_tables(training: DataFrame) -> Tables:
+    """Whole model of the rows of `training` (text, lang)."""
+    counts = written(word_counts(training), "word-counts")
+    pieces = written(gram_counts(counts), "gram-counts")
+    totals, sizes, tables = {}, {}, []
+    for own, k in ((counts, F.lit(0)), (pieces, F.length("token"))):
+        totals |= {(r.k, r.lang): r.n for r in own.groupBy("lang", k.alias("k")).agg(F.sum("n").alias("n")).collect()}
+        table = own.groupBy("token").agg(F.collect_list(F.struct("lang", "n")).alias("counts"))
+        tables.append(written(table, "tokens"))
+        sizes |= {r.k: r.n for r in tables[-1].groupBy(k.alias("k")).agg(F.count("*").alias("n")).collect()}
+    return Tables(sorted(lang for k, lang in totals if k == 0), *tables, totals, sizes)
+
+
+def chunk_words(copy: DataFrame, text: str) -> DataFrame:
+    """(chunk, word): the words of each chunk, once unless the chunk is read in parts."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, tokens = None, set()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            words = list({w for token in tokens for w in LETTERS.findall(token)})
+            for at in range(0, len(words), 100_000):
+                part = pa.array(words[at : at + 100_000], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), chunk)), part], ["chunk", "word"])
+
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if name != chunk or len(tokens) > KEPT_COUNTS:
+                    yield from flush()
+                    chunk, tokens = name, set()
+                tokens.update((value.as_py() or "").lower().split())
+        yield from flush()
+
+    return copy.select("chunk", text).mapInArrow(find, "chunk long, word string")
+
+
+def _hits(words: DataFrame, grams_table: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """(word, hits) of all `words`: the known n-grams (k, counts) of the greatest length that has any, else null."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                names = batch.column(0)[at : at + 4096].to_pylist()
+                rows = [(w, n, g) for w in names for n in lengths for g in grams(w, n)]
+                for low in range(0, len(rows), 1 << 16):
+                    word, k, token = zip(*rows[low : low + (1 << 16)], strict=True)
+                    columns = [pa.array(word, pa.string()), pa.array(k, pa.int32()), pa.array(token, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "k", "token"])
+
+    met = words.mapInArrow(cut, "word string, k int, token string").join(grams_table, "token")
+    found = met.groupBy("word", "k").agg(F.collect_list(F.struct("k", "counts")).alias("hits"))
+    longest = found.groupBy("word").agg(F.max_by("hits", "k").alias("hits"))
+    return written(words.join(longest, "word", "left"), "backed-off")
+
+
+def word_scores(words: DataFrame, tables: Tables) -> DataFrame:
+    """(word, logs): the log frequencies of each of the distinct `words` in the languages; a word of which
+    nothing is known is left out."""
+    whole = tables.words.select(
+        F.col("token").alias("word"), F.array(F.struct(F.lit(0).alias("k"), "counts")).alias("hits")
+    )
+    found = [written(words.join(whole, "word", "left"), "known-words")]
+    for lengths in (GRAMS[:2], GRAMS[2:]):
+        found.append(_hits(found[-1].where("hits is null").select("word"), tables.grams, lengths))
+    column = {lang: at for at, lang in enumerate(tables.languages)}
+    total = {
+        k: np.array([tables.totals.get((k, lang), 0) + SMOOTHING * n for lang in tables.languages])
+        for k, n in tables.sizes.items()
+    }
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for hits in batch.column(1).to_pylist():
+                counts = np.full((len(hits), len(column)), SMOOTHING)
+                for own, hit in zip(counts, hits, strict=True):
+                    for entry in hit["counts"]:
+                        own[column[entry["lang"]]] += entry["n"]
+                out.append(np.log(counts / total[hits[0]["k"]]).mean(axis=0).tolist())
+            columns = [batch.column(0), pa.array(out, pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "logs"])
+
+    rows = found[0].union(found[1]).union(found[2]).where("hits is not null")
+    return rows.mapInArrow(score, "word string, logs array<float>")
+
+
+def judged(docs: DataFrame, tables: Tables, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(row, lang_pred, score) of every row of `docs`; `row` holds its columns."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    copy = stored_chunks(rows, "judged-texts", f"row.`{text}`", chunk_bytes)
+    words = written(chunk_words(copy, f"row.`{text}`"), "chunk-words")
+    scores = written(word_scores(words.select("word").distinct(), tables), "word-scores")
+    back = words.join(scores, "word")
+    languages = tables.languages
+
+    def judge(own: pa.Table, known: pa.Table) -> pa.Table:
+        logs = known.column("logs").combine_chunks()
+        logs = np.asarray(logs.flatten()).reshape(len(known), len(languages))
+        none = np.zeros((0, len(languages)), np.float32)
+        scorer = Scorer(Model(languages, known.column("word"), logs, pa.array([], pa.string()), none))
+        found = [scorer.best(t.as_py()) for part in own.column("row").chunks for t in part.field(text)]
+        columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+        return pa.table([own.column("row"), *columns], ["row", "lang_pred", "score"])
+
+    schema = T.StructType([copy.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return copy.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(judge, schema)
+
+
 class Scorer(dict):
     """Row of each token's scores in `scores`, filled as tokens come."""
 
@@ -232,7 +358,11 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model | Tables, text: str = "text") -> DataFrame:
     """`docs` with `lang_pred` and `score`."""
+    if isinstance(model, Tables):
+        found = judged(docs, model, text)
+        kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+        return found.select(*kept, "lang_pred", "score")
     found = docs.withColumn("__found", language_of(F.col(text), model))
     return found.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")

@@ -90,7 +90,7 @@ def repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language_backoff")
 def language_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
-    model = language.learn(docs.where("not held_out"))
+    model = language.count_tables(docs.where("not held_out"))
     return language.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 

@@ -56,3 +56,30 @@ def test_odd_tables(spark):
     model = language.learn(spark.createDataFrame([("fr", "le la"), ("en", "the")], "lang string, text string"))
     assert [r.lang_pred for r in language.identify(docs, model).orderBy("doc_id").collect()] == ["und", "fr", "fr"]
     assert language.identify(docs.limit(0), model).count() == 0
+
+
+def test_no_word_is_cut_from_the_tables(spark, monkeypatch):
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    whole = language.Scorer(language.learn(docs.where(~language.held_out()).select("text", "lang"), 10**9))
+    monkeypatch.setattr(language.learn, "__defaults__", (50,))
+    expected = {r.doc_id: whole.best(r.text) for r in docs.collect()}
+    got = {r.doc_id: r for r in QUERIES["op7_language_backoff"](spark, small).collect()}
+    assert set(got) == set(expected)
+    for i, (lang, score) in expected.items():
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-6
+
+
+def test_tables_back_off_like_the_model(spark):
+    rows = [("aa", "vlokar vlokin"), ("bb", "smeter smetil"), ("aa", None), (None, "zzz"), ("bb", "")]
+    training = spark.createDataFrame(rows, "lang string, text string")
+    own = language.Scorer(language.learn(training))
+    texts = ["vlokar", "smetil SMETER", "vlokest", "xxmet", "v", "QQQ", None, "", "123 ½ _ !?", "vlokar, x-met vlo"]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, score int")
+    got = {r.text: (r.lang_pred, r.score) for r in language.identify(docs, language.count_tables(training)).collect()}
+    for text in texts:
+        lang, score = own.best(text)
+        assert got[text][0] == lang and abs(got[text][1] - score) < 1e-6
+    nothing = language.count_tables(training.limit(0))
+    assert {(r.lang_pred, r.score) for r in language.identify(docs, nothing).collect()} == {("und", 0.0)}
+    assert language.identify(docs.limit(0), nothing).count() == 0
