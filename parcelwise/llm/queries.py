@@ -10,7 +10,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, editprint, hosts, language, mixing, packing, quality, sharding, simhash, substrings
+from parcelwise.llm import (
+    bpe,
+    editprint,
+    hosts,
+    language,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substrings,
+    tokencounts,
+)
 from parcelwise.llm.tables import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +192,11 @@ def edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query("op12_pretoken_counts")
+def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return tokencounts.count_tokens(documents(spark, sf_dir), tokenizer, public_tokenizers.PATTERN)
