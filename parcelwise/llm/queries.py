@@ -20,6 +20,7 @@ from parcelwise.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     substrings,
     tokencounts,
 )
@@ -200,3 +201,8 @@ def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return tokencounts.count_tokens(documents(spark, sf_dir), tokenizer, public_tokenizers.PATTERN)
+
+
+@query("op13_variable_grams")
+def variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
