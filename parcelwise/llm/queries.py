@@ -23,6 +23,7 @@ from parcelwise.llm import (
     spelling,
     substrings,
     tokencounts,
+    whitening,
 )
 from parcelwise.llm.tables import documents
 
@@ -206,3 +207,8 @@ def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_variable_grams")
 def variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
+
+
+@query("op11_spectral_whitening")
+def spectral_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
