@@ -6,9 +6,8 @@ over its distinct pre-tokens, of how often they come times how many pieces they
 1. Documents are read once, in chunks of about `chunk_bytes` of text. A chunk gives its vocabulary, one
    row, and for each document the numbers of its distinct pre-tokens in that vocabulary with their
    frequencies. No text and no id is written.
-2. The distinct pre-tokens of all vocabularies are encoded, each once, and only their lengths are kept.
-3. Lengths are joined to the vocabularies and go back to their chunks, where numbers times frequencies
-   are summed.
+2. The vocabularies meet by pre-token. Each distinct one is encoded once, and only its length is kept.
+3. Lengths go back to their chunks, where they are summed times the frequencies.
 
 What is shuffled are vocabularies (one row per chunk and pre-token, so the most common word of all
 documents comes once per chunk) and frequency vectors. No table is broadcast.
@@ -38,9 +37,8 @@ from pyspark.sql import functions as F
 
 from parcelwise.llm.bpe import safe_parts
 from parcelwise.llm.tables import stored
-from parcelwise.scale import written
 
-CHUNK_BYTES = 16 * 1024**2
+CHUNK_BYTES = 48 * 1024**2
 UNLIKE = regex.compile(r"[^\u0000-\u0557\u2000-\u2070\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5]")
 """Characters outside ranges in which both pattern engines know the same letters, digits and blanks."""
 
@@ -167,16 +165,28 @@ def frequencies(
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(split, SCHEMA)
 
 
-def token_lengths(tokens: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
-    """(token, n) of distinct pre-tokens: how many pieces each gives."""
+def with_lengths(words: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
+    """(of, number, n): how many pieces the pre-token of each row of `words` (of, number, token) gives.
+
+    Rows are sorted by pre-token, so that each is encoded once, where its rows meet."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = splitter(tokenizer_path, pattern)
+        last: tuple[str | None, int] = None, 0
         for batch in batches:
-            n = pa.array(own.lengths(batch.column(0).to_pylist()), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n], ["token", "n"])
+            coded = batch.column("token").dictionary_encode()
+            tokens = coded.dictionary.to_pylist()
+            if not tokens:
+                continue
+            known = tokens[0] == last[0]
+            n = ([last[1]] if known else []) + own.lengths(tokens[known:])
+            last = tokens[-1], n[-1]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("of"), batch.column("number"), pa.array(n, pa.int32()).take(coded.indices)], ["of", "number", "n"]
+            )
 
-    return tokens.mapInArrow(count, "token string, n int")
+    met = words.select("of", "number", "token").repartition("token").sortWithinPartitions("token")
+    return met.mapInArrow(count, "of long, number int, n int")
 
 
 def count_tokens(
@@ -192,8 +202,7 @@ def count_tokens(
     parts = stored(frequencies(docs, tokenizer_path, pattern, doc_id, text, chunk_bytes), "frequencies")
     vocabularies = parts.where("vocabulary is not null")
     words = vocabularies.select(F.col("chunk").alias("of"), F.posexplode("vocabulary").alias("number", "token"))
-    lengths = written(token_lengths(words.select("token").distinct(), tokenizer_path, pattern), "token-lengths")
-    back = words.join(lengths, "token").select("of", "number", "n")
+    back = with_lengths(words, tokenizer_path, pattern)
     rows = parts.where("vocabulary is null").drop("vocabulary")
 
     def total(own: pa.Table, known: pa.Table) -> pa.Table:
