@@ -93,8 +93,11 @@ def ensemble(df: DataFrame, members: dict[str, float]) -> DataFrame:
 
 
 def ensemble_long(predictions: DataFrame, weights: DataFrame, row: str = "row_id") -> DataFrame:
-    """The same for members that arrive as rows (row, member, prediction) and a (member, weight) table."""
-    weighted = predictions.join(weights, "member")
+    """The same for members that arrive as rows (row, member, prediction) and a (member, weight) table.
+
+    A member without a weight is an error, not a smaller ensemble."""
+    missing = F.raise_error(F.concat(F.lit("no weight for member "), F.coalesce(F.col("member").cast("string"), F.lit("null"))))
+    weighted = predictions.join(weights, "member", "left").withColumn("weight", F.coalesce("weight", missing.cast("double")))
     return weighted.groupBy(row).agg(
         (F.sum(F.col("weight") * F.col("prediction")) / F.sum("weight")).alias("ensemble"),
         F.var_pop("prediction").alias("variance"),

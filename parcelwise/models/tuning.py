@@ -7,9 +7,8 @@ import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from parcelwise.models.estimators import evaluate, gradient_boosting
 
@@ -74,10 +73,12 @@ def random_search(
 def search_history(studies: DataFrame, study: str, document: str) -> DataFrame:
     """Trials of search documents `{"trials": [{"value": x}, ...]}` with the best value so far.
 
-    A document holds all trials of its study, so a study's trials fit into one task, where the running minimum is taken."""
+    Each document is a history of its own, also where a study has several; the minimum runs inside its row."""
     parsed = F.from_json(document, "trials ARRAY<STRUCT<value: DOUBLE>>")
     values = studies.select(study, parsed["trials"]["value"].alias("__values"))
-    longest = F.transform("__values", lambda v, i: F.struct(i.alias("trial"), v.alias("value")))
-    steps = values.select(study, F.inline(longest))
-    so_far = Window.partitionBy(study).orderBy("trial").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return steps.withColumn("best_so_far", F.min("value").over(so_far))
+
+    def step(value: Column, i: Column) -> Column:
+        best = F.array_min(F.slice("__values", 1, i + 1))
+        return F.struct(i.alias("trial"), value.alias("value"), best.alias("best_so_far"))
+
+    return values.select(study, F.inline(F.transform("__values", step)))

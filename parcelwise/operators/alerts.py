@@ -71,6 +71,18 @@ def bucket_quantile(histogram: DataFrame, keys: Sequence[str], q: float) -> Data
     )
 
 
+def cumulative_quantile(cumulative: Column, bounds: Sequence[float], q: float) -> Column:
+    """The same quantile from an array of cumulative counts, one per bound and one for all, of a single row."""
+    n = cumulative[len(bounds)]
+    rank = F.lit(q) * n
+    found = []
+    for i, bound in enumerate(bounds):
+        below, low = (cumulative[i - 1], float(bounds[i - 1])) if i else (F.lit(0), 0.0)
+        inside = F.lit(low) + (F.lit(float(bound)) - low) * F.try_divide(rank - below, cumulative[i] - below)
+        found.append(F.when(cumulative[i] >= rank, F.coalesce(inside, F.lit(float(bound)))))
+    return F.when(n > 0, F.coalesce(*found, F.lit(float(bounds[-1]))))
+
+
 def windowed_buckets(
     df: DataFrame, ts: str, value: Column, bounds: Sequence[float] = LATENCY_BOUNDS, minutes: int = 5, slide: int = 1
 ) -> DataFrame:

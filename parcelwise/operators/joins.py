@@ -50,13 +50,14 @@ def point_in_time(
 
     History and spine go into one frame sorted per entity; each spine row takes the last history
     row seen. Equal event times are decided by the created time, then by the values of all features
-    of the view, so the chosen row does not depend on which features are asked for."""
+    of the view, so the chosen row does not depend on which features are asked for. A null entity has no
+    history: null keys never match."""
     features = list(features or view.features)
     clash = [f"{prefix}{f}" for f in features if f"{prefix}{f}" in spine.columns]
     if clash:
         raise ValueError(f"spine already has {clash}")
     payload = F.struct(F.col(view.event).alias("__at"), *features)
-    history = view.source.select(
+    history = view.source.filter(F.col(view.entity).isNotNull()).select(
         F.col(view.entity).alias("__key"),
         F.col(view.event).alias("__ts"),
         F.lit(0).alias("__side"),
@@ -104,10 +105,15 @@ def historical_features(
 
 
 def delayed_metrics(
-    predictions: DataFrame, actuals: DataFrame, key: str, labels: Sequence[str] = ()
+    predictions: DataFrame, actuals: DataFrame, key: str, labels: Sequence[str] = (), arrived: str | None = None
 ) -> DataFrame:
-    """Error metrics of the predictions whose actual has arrived, and how many still wait for theirs."""
-    joined = predictions.join(actuals, key, "left")
+    """Error metrics of the predictions whose actual has arrived, and how many still wait for theirs.
+
+    Each prediction counts once: of several actuals of a key the newest by `arrived` counts, of equally new
+    ones (or of all, without that column) the largest."""
+    newest = F.max(F.struct(*([arrived] if arrived else []), "actual"))["actual"]
+    once = actuals.filter(F.col("actual").isNotNull()).groupBy(key).agg(newest.alias("actual"))
+    joined = predictions.join(once, key, "left")
     waiting = F.count_if(F.col("actual").isNull()).alias("waiting")
     return joined.groupBy(*labels).agg(*metric_columns(), waiting)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.operators.admission import admissions
@@ -19,37 +21,62 @@ from parcelwise.plans.catalog import (
     with_sales,
 )
 from parcelwise.plans.modeling import _forest, model_rows
-from parcelwise.plans.quality import DRIFT_BASE, DRIFTED, REASON_SQL
+from parcelwise.plans.quality import DRIFT_BASE, DRIFTED, REASON_SQL, _bucket_quantile_sql
 from parcelwise.scale import fresh_path, written
 from parcelwise.schemas import LATENCY_BOUNDS, REQUEST_SCHEMA
 from parcelwise.sources.sample_tables import feature_history, request_log, sales, sales_dirty, table
 from parcelwise.streaming import ingest, monitors
 from parcelwise.streaming.sources import drain_to_files, file_messages
 
-FILES = 8
+ROWS_PER_FILE = 1_000_000
 
 
-def sliced_files(rows: DataFrame, ts: str, cuts: list[datetime], kind: str) -> str:
-    """Write rows as consecutive time slices of FILES files each, so that a stream reading FILES files
-    per batch sees the slices in order."""
-    rows = written(rows, "rows")
+@dataclass(frozen=True)
+class Slices:
+    """A folder of files; a stream that reads `files` of them per batch sees one slice after the other."""
+
+    path: str
+    files: int
+
+
+def sliced_files(
+    rows: DataFrame, ts: str, cuts: Sequence, kind: str, closing: timedelta | None = None, arrival: Column | None = None
+) -> Slices:
+    """Write rows as consecutive slices by `arrival` (by `ts` without it), all of as many files.
+
+    With `closing`, a last slice holds one row that is empty but for a time that much later, which
+    moves the watermark past all others."""
+    rows = written(rows.withColumn("__arrival", F.col(ts) if arrival is None else arrival), "rows")
     path = fresh_path(rows.sparkSession, "slices")
+    count, newest = rows.agg(F.count(F.lit(1)), F.max(ts)).first()
+    files = max(2, -(-count // (ROWS_PER_FILE * (len(cuts) + 1))))
     bounds = [None, *cuts, None]
+    parts = []
     for low, high in zip(bounds, bounds[1:]):
         part = rows
         if low is not None:
-            part = part.filter(F.col(ts) >= F.lit(low))
+            part = part.filter(F.col("__arrival") >= F.lit(low))
         if high is not None:
-            part = part.filter(F.col(ts) < F.lit(high))
-        writer = part.repartition(FILES).write.mode("append").format(kind)
+            part = part.filter(F.col("__arrival") < F.lit(high))
+        parts.append(part.repartition(files))
+    if closing is not None and newest is not None:
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in rows.schema.fields}
+        last = rows.sparkSession.range(1).select(*[c.alias(name) for name, c in empty.items()])
+        parts.append(last.withColumn(ts, F.lit(newest + closing).cast(rows.schema[ts].dataType)).coalesce(1))
+    for part in parts:
+        writer = part.drop("__arrival").write.mode("append").format(kind)
         if kind == "json":
             writer = writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
         writer.save(path)
-    return path
+    return Slices(path, files)
 
 
-def file_stream(spark, path: str, like: DataFrame) -> DataFrame:
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+def file_stream(spark, slices: Slices, like: DataFrame) -> DataFrame:
+    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", slices.files).parquet(slices.path)
+
+
+def messages_in(spark, slices: Slices) -> DataFrame:
+    return file_messages(spark, slices.path, slices.files)
 
 
 EVENT_CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
@@ -88,9 +115,9 @@ def _ntz(col: str):
          event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
 )
 def k1(spark, folder):
-    path = sliced_files(event_messages(spark, folder), "timestamp", EVENT_CUTS, "json")
+    slices = sliced_files(event_messages(spark, folder), "timestamp", EVENT_CUTS, "json")
     body = F.from_json("value", "event_id BIGINT, event_type STRING, value DOUBLE, props STRING").alias("m")
-    rows, _ = drain_to_files(file_messages(spark, path, FILES).select("partition", "offset", "timestamp", body), "k1")
+    rows, _ = drain_to_files(messages_in(spark, slices).select("partition", "offset", "timestamp", body), "k1")
     return rows.select(
         "partition", "offset", _ntz("timestamp"), "m.event_id", "m.event_type", "m.value",
         F.from_json("m.props", "k INT")["k"].alias("k"),
@@ -109,8 +136,8 @@ PLACE = 'l_linenumber AS "partition", l_orderkey AS "offset"'
     ),
 )
 def k2(spark, folder):
-    path = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
-    parsed = ingest.parse_messages(file_messages(spark, path, FILES))
+    slices = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
+    parsed = ingest.parse_messages(messages_in(spark, slices))
     rows, _ = drain_to_files(parsed.select("partition", "offset", "reasons"), "k2")
     return rows.withColumn("reasons", F.concat_ws("; ", "reasons"))
 
@@ -125,9 +152,9 @@ def k2(spark, folder):
     ),
 )
 def k3(spark, folder):
-    path = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
+    slices = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
     root = fresh_path(spark, "ingest-out")
-    messages = file_messages(spark, path, FILES)
+    messages = messages_in(spark, slices)
     ingest.start_ingest(messages, root, once=True).awaitTermination()
     # A second run with a new checkpoint replays the same batches and must not add rows.
     ingest.start_ingest(messages, root, once=True).awaitTermination()
@@ -144,8 +171,8 @@ def k3(spark, folder):
 )
 def k5(spark, folder):
     messages = event_messages(spark, folder)
-    path = sliced_files(messages.unionByName(messages), "timestamp", EVENT_CUTS, "json")
-    unique = ingest.dedup_messages(file_messages(spark, path, FILES), "30 days")
+    slices = sliced_files(messages.unionByName(messages), "timestamp", EVENT_CUTS, "json")
+    unique = ingest.dedup_messages(messages_in(spark, slices), "30 days")
     rows, _ = drain_to_files(unique.select("partition", "offset", "timestamp"), "k5")
     return rows.select("partition", "offset", _ntz("timestamp"))
 
@@ -159,18 +186,19 @@ CUMULATIVE_SQL = ", ".join(
     "k6_windowed_requests",
     f"""WITH {REQUESTS}, slid AS (
           SELECT *, date_trunc('minute', ts) - to_minutes(CAST(k AS INTEGER)) AS window_start
-          FROM log, (SELECT unnest(range(5)) AS k))
-        SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
+          FROM log, (SELECT unnest(range(5)) AS k)),
+        counted AS (SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
                count(*) FILTER (WHERE status BETWEEN 500 AND 599) AS errors,
                {rnd("count(*) FILTER (WHERE status BETWEEN 500 AND 599) / CAST(count(*) AS DOUBLE)", 6)} AS error_ratio,
                array_to_string([{CUMULATIVE_SQL}], ',') AS cumulative
-        FROM slid GROUP BY window_start
-        HAVING window_start + INTERVAL 5 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM log)""",
+        FROM slid GROUP BY window_start),
+        quantiles AS ({_bucket_quantile_sql("(SELECT window_start, latency_ms / 1000 AS v FROM slid)", "window_start", 0.95)})
+        SELECT counted.*, q.quantile FROM counted LEFT JOIN quantiles q USING (window_start)""",
 )
 def k6(spark, folder):
     log = request_log(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    path = sliced_files(log, "ts", EVENT_CUTS, "parquet")
-    rows, _ = drain_to_files(monitors.windowed_requests(file_stream(spark, path, log)), "k6")
+    slices = sliced_files(log, "ts", EVENT_CUTS, "parquet", timedelta(days=1))
+    rows, _ = drain_to_files(monitors.windowed_requests(file_stream(spark, slices, log)), "k6")
     return rows.select(
         _ntz("window_start"),
         _ntz("window_end"),
@@ -178,6 +206,7 @@ def k6(spark, folder):
         "errors",
         near("error_ratio", 6).alias("error_ratio"),
         F.concat_ws(",", F.transform("cumulative", lambda v: v.cast("string"))).alias("cumulative"),
+        near("quantile", 8).alias("quantile"),
     )
 
 
@@ -202,9 +231,14 @@ def k7_table(spark, folder):
 
 @query("k7_admissions_stream", ADMISSION_SQL)
 def k7_stream(spark, folder):
+    """Calls arrive up to two days after they were made, so slices overlap in time and are in no order."""
     log = request_log(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    path = sliced_files(log, "ts", EVENT_CUTS, "parquet")
-    decided = monitors.stream_admissions(file_stream(spark, path, log), "client", "ts", "event_id", LIMIT, SIX_HOURS)
+    arrival = F.col("ts") + F.make_dt_interval(hours=F.xxhash64("event_id") % 25 + 24)
+    cuts = [datetime(2024, 1, day) for day in (8, 15, 22, 29)]
+    slices = sliced_files(log, "ts", cuts, "parquet", timedelta(days=9), arrival)
+    decided = monitors.stream_admissions(
+        file_stream(spark, slices, log), "client", "ts", "event_id", LIMIT, SIX_HOURS, "3 days"
+    )
     rows, _ = drain_to_files(decided, "k7")
     return rows.select("client", _ntz("ts"), "event_id", "admitted")
 
@@ -212,8 +246,8 @@ def k7_stream(spark, folder):
 @query("k8_stream_scoring")
 def k8(spark, folder):
     model = _forest().fit(model_rows(spark, folder))
-    path = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
-    parsed = ingest.parse_messages(file_messages(spark, path, FILES))
+    slices = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
+    parsed = ingest.parse_messages(messages_in(spark, slices))
     valid = parsed.filter(F.size("reasons") == 0).drop("reasons", "value")
     scored = monitors.stream_scores(valid, model).select("partition", "offset", "property_id", "prediction")
     return drain_to_files(scored, "k8")[0]
@@ -229,10 +263,10 @@ LATEST = ["event_timestamp", "created_timestamp", "order_id"]
 )
 def k9(spark, folder):
     history = feature_history(spark, folder)
-    path = sliced_files(history, "event_timestamp", SALE_CUTS, "parquet")
+    slices = sliced_files(history, "event_timestamp", SALE_CUTS, "parquet")
     root = fresh_path(spark, "latest-out")
     ingest.start_latest_features(
-        file_stream(spark, path, history), "entity_id", LATEST, root, once=True
+        file_stream(spark, slices, history), "entity_id", LATEST, root, once=True
     ).awaitTermination()
     ingest.compact_latest(spark, root, history.schema, "entity_id", LATEST, upto=1)
     return ingest.latest_features(spark, root, history.schema, "entity_id", LATEST, snapshot=1)
@@ -249,7 +283,6 @@ def k9(spark, folder):
                       CROSS JOIN ref_{c} f
                       LEFT JOIN (SELECT date_trunc('day', sale_date) AS day, bin, count(*) AS n FROM bins_{c} GROUP BY ALL) k
                         ON k.day = d.day AND k.bin = f.bin)
-                WHERE day + INTERVAL 1 DAY <= (SELECT max(sale_date) - INTERVAL 1 DAY FROM sales)
                 GROUP BY day"""
             for c in DRIFTED
         ),
@@ -260,6 +293,6 @@ def k10(spark, folder):
     rows = sales(spark, folder)
     fit = fit_drift_bins(rows.filter(F.col("sale_date") < F.lit("1998-06-01").cast("timestamp_ntz")), DRIFTED)
     stream_rows = rows.select(F.col("sale_date").cast("timestamp").alias("ts"), *DRIFTED)
-    path = sliced_files(stream_rows, "ts", SALE_CUTS, "parquet")
-    scores, _ = drain_to_files(monitors.daily_drift(file_stream(spark, path, stream_rows), fit), "k10")
+    slices = sliced_files(stream_rows, "ts", SALE_CUTS, "parquet", timedelta(days=9))
+    scores, _ = drain_to_files(monitors.daily_drift(file_stream(spark, slices, stream_rows), fit), "k10")
     return scores.withColumns({"day": _ntz("day"), "drift_score": near("drift_score", 6)})

@@ -8,10 +8,12 @@ import pandas as pd
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StructField, StructType
 
 from parcelwise.models.scoring import score_requests
 from parcelwise.operators.admission import admit
+from parcelwise.operators.alerts import cumulative_quantile
 from parcelwise.operators.drift import DriftBins, drift_scores
 from parcelwise.operators.encoding import RobustScale
 from parcelwise.schemas import LATENCY_BOUNDS
@@ -24,25 +26,33 @@ def windowed_requests(
     slide: str = "1 minute",
     delay: str = "10 minutes",
     bounds: Sequence[float] = LATENCY_BOUNDS,
+    q: float = 0.95,
 ) -> DataFrame:
-    """Requests, errors and cumulative latency counts per window, emitted once the window closed."""
+    """Requests, errors, cumulative latency counts and a latency quantile per window, emitted once the window closed.
+
+    Events are counted into panes as long as the slide, of which `size` must be a multiple; windows are sums of
+    closed panes. So an event is counted once, not once per window, and the second state holds panes only."""
     seconds = F.col("latency_ms") / 1000
-    return (
-        log.withWatermark(ts, delay)
-        .groupBy(F.window(ts, size, slide).alias("window"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("status").between(500, 599)).alias("errors"),
-            F.array(*[F.count_if(seconds <= b) for b in bounds], F.count("latency_ms")).alias("cumulative"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "n",
-            "errors",
-            (F.col("errors") / F.col("n")).alias("error_ratio"),
-            "cumulative",
-        )
+    buckets = {f"b{i}": F.count_if(seconds <= b) for i, b in enumerate(bounds)}
+    counts = {
+        "n": F.count(F.lit(1)),
+        "errors": F.count_if(F.col("status").between(500, 599)),
+        **buckets,
+        "timed": F.count("latency_ms"),
+    }
+    panes = log.withWatermark(ts, delay).groupBy(F.window(ts, slide).alias("pane"))
+    panes = panes.agg(*[c.alias(name) for name, c in counts.items()])
+    windows = panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window"))
+    windows = windows.agg(*[F.sum(name).alias(name) for name in counts])
+    cumulative = F.array(*buckets, "timed")
+    return windows.select(
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "n",
+        "errors",
+        (F.col("errors") / F.col("n")).alias("error_ratio"),
+        cumulative.alias("cumulative"),
+        cumulative_quantile(cumulative, bounds, q).alias("quantile"),
     )
 
 
@@ -58,33 +68,88 @@ def stream_scores(requests: DataFrame, model: Model, scale: RobustScale | None =
     return score_requests(requests, model, scale)
 
 
+class Admission(StatefulProcessor):
+    """Per key: the calls that wait for the watermark, and the admission times of the last window.
+
+    A call is decided when the watermark has passed it, since no earlier one can then arrive. An event-time
+    timer stands at the earliest waiting call, or at the end of the window when none waits."""
+
+    def __init__(self, columns: tuple[str, str, str], tie_type: DataType, limit: int, window: int):
+        self.columns, self.tie_type, self.limit, self.window = columns, tie_type, limit, window
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        call = StructType([StructField("t", LongType()), StructField("tie", self.tie_type)])
+        self.waiting = handle.getListState("waiting", call)
+        self.live = handle.getValueState("live", StructType([StructField("times", ArrayType(LongType()))]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        _, time, tie = self.columns
+        first, passed = None, timerValues.getCurrentWatermarkInMs() * 1000
+        for frame in rows:
+            calls = [c for c in zip(frame[time].tolist(), frame[tie].tolist(), strict=True) if c[0] > passed]
+            if calls:
+                self.waiting.appendList(calls)
+                first = min(calls[0][0] if first is None else first, *(t for t, _ in calls))
+        if first is not None:
+            self._wake(first, timerValues)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        calls = sorted(self.waiting.get()) if self.waiting.exists() else []
+        due = [c for c in calls if c[0] <= passed]
+        rest = calls[len(due) :]
+        carried = list(self.live.get()[0]) if self.live.exists() else []
+        decisions, live = admit([t for t, _ in due], carried, self.limit, self.window)
+        if rest:
+            self.waiting.put(rest)
+            self._wake(rest[0][0], timerValues)
+        else:
+            self.waiting.clear()
+        if rest or (live and live[-1] + self.window > passed):
+            self.live.update((live,))
+            if not rest:
+                self._wake(live[-1] + self.window, timerValues)
+        else:
+            self.live.clear()
+        if due:
+            name, time, tie = self.columns
+            columns = {name: [key[0]] * len(due), time: [t for t, _ in due], tie: [c for _, c in due]}
+            yield pd.DataFrame({**columns, "admitted": decisions})
+
+    def _wake(self, micros: int, timerValues) -> None:
+        self.handle.registerTimer(max(micros // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+
+
+MICROS = "event_micros"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_admissions(
     log: DataFrame, key: str, ts: str, tie: str, limit: int = 100, seconds: int = 60, delay: str = "10 minutes"
 ) -> DataFrame:
-    """Admission decisions on a stream. State per key: admission times inside the window.
-
-    Calls of a batch are taken in time order; state is dropped when the watermark has passed it."""
-    types = {c: log.schema[c].dataType.simpleString() for c in (key, ts, tie)}
-    window = seconds * 1_000_000
-
-    def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        calls = pd.concat(list(frames)).sort_values(["__t", tie], kind="stable")
-        carried = list(state.get[0]) if state.exists else []
-        decisions, live = admit(calls["__t"].tolist(), carried, limit, window)
-        state.update((live,))
-        expiry = (int(calls["__t"].iloc[-1]) + window) // 1000 + 1
-        state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        yield calls[[key, ts, tie]].assign(admitted=decisions)
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", admitted boolean"
-    return (
-        log.select(key, ts, tie, F.unix_micros(ts).alias("__t"))
+    """Admission decisions on a stream, in event order whatever the order of arrival within `delay`.
+
+    A decision comes when the watermark has passed its call; calls behind the watermark are dropped. A key's
+    waiting calls and the admissions of its last window are its state. The session's state store is set to
+    RocksDB, which this kind of state needs."""
+    log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    kinds = {c: log.schema[c].dataType for c in (key, ts, tie)}
+    out = StructType(
+        [
+            StructField(key, kinds[key]),
+            StructField(MICROS, LongType()),
+            StructField(tie, kinds[tie]),
+            StructField("admitted", BooleanType()),
+        ]
+    )
+    decided = (
+        log.select(key, ts, tie, F.unix_micros(ts).alias(MICROS))
         .withWatermark(ts, delay)
         .groupBy(key)
-        .applyInPandasWithState(
-            step, schema, "live array<bigint>", "append", GroupStateTimeout.EventTimeTimeout
+        .transformWithStateInPandas(
+            Admission((key, MICROS, tie), kinds[tie], limit, seconds * 1_000_000), out, "Append", "EventTime"
         )
     )
+    return decided.select(key, F.timestamp_micros(MICROS).cast(kinds[ts]).alias(ts), tie, "admitted")

@@ -124,10 +124,17 @@ def test_random_search_is_seeded(rows):
 
 
 def test_search_history(spark):
-    df = spark.createDataFrame([("s", '{"trials": [{"value": 5.0}, {"value": 7.0}, {"value": 2.0}]}'), ("t", '{"trials": []}')], "s STRING, d STRING")
-    assert [tuple(r) for r in search_history(df, "s", "d").orderBy("trial").collect()] == [
-        ("s", 0, 5.0, 5.0), ("s", 1, 7.0, 5.0), ("s", 2, 2.0, 2.0)
+    rows = [
+        ("s", '{"trials": [{"value": 5.0}, {"value": 7.0}, {"value": 2.0}]}'),
+        ("s", '{"trials": [{"value": 9.0}, {"value": null}, {"value": 4.0}]}'),
+        ("t", '{"trials": []}'),
+        (None, '{"trials": [{"value": 1.0}]}'),
+        ("u", "broken"),
     ]
+    df = spark.createDataFrame(rows, "s STRING, d STRING")
+    found = {(r["s"], r["trial"], r["value"], r["best_so_far"]) for r in search_history(df, "s", "d").collect()}
+    first = {("s", 0, 5.0, 5.0), ("s", 1, 7.0, 5.0), ("s", 2, 2.0, 2.0)}
+    assert found == first | {("s", 0, 9.0, 9.0), ("s", 1, None, 9.0), ("s", 2, 4.0, 4.0), (None, 0, 1.0, 1.0)}
 
 
 def test_scoring_keeps_rows_and_columns(spark, rows):

@@ -4,9 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
-from parcelwise.operators.admission import admissions, admit
+from parcelwise.operators.admission import admissions, admit, known_end
 from parcelwise.operators.joins import FeatureView, point_in_time, reuse_or_score
 from parcelwise.operators.ordering import day_number, last_known, rank_within, rolling_rows, running_sum
 from parcelwise.operators.quantiles import quantiles
@@ -114,7 +115,7 @@ def test_point_in_time(hot, spark):
     facts = history.collect()
     for row in plain.collect():
         seen = [
-            f for f in facts if f["k"] == row["k"] and row["at"] - timedelta(days=4) <= f["ts"] <= row["at"]
+            f for f in facts if row["k"] is not None and f["k"] == row["k"] and row["at"] - timedelta(days=4) <= f["ts"] <= row["at"]
         ]
         # A history value may itself be null; only the chosen row matters.
         chosen = max(seen, key=lambda f: (f["ts"], f["made"], f["v"] is not None, f["v"] or 0, f["id"]), default=None)
@@ -167,6 +168,53 @@ def test_admissions_split(spark):
         assert sorted((r["id"], r["admitted"]) for r in found) == sorted(expected)
 
 
+def test_saturated_key_takes_two_passes(spark, monkeypatch):
+    """A key that is at its limit all the time, in about 100 blocks, and another that rests in between."""
+    from parcelwise.operators import admission
+
+    draw = random.Random(4)
+    rows = [(i, 1, START + timedelta(seconds=20 * i)) for i in range(20_000)]
+    rows += [(20_000 + i, 2, START + timedelta(seconds=draw.randint(0, 9) + 3600 * (i // 40))) for i in range(4000)]
+    log = spark.createDataFrame(rows, "id INT, client INT, ts TIMESTAMP_NTZ")
+    expected = []
+    for client in (1, 2):
+        calls = sorted((r[2], r[0]) for r in rows if r[1] == client)
+        decided, _ = admit([int((t - START).total_seconds() * 1e6) for t, _ in calls], [], 7, 600 * 10**6)
+        expected += [(i, ok) for (_, i), ok in zip(calls, decided)]
+    copies, store = [], admission.written
+
+    def counted(df, label, *args):
+        copies.append((label, out := store(df, label, *args)))
+        return out
+
+    monkeypatch.setattr(admission, "written", counted)
+    found = admissions(log, "client", "ts", "id", 7, 600, 200)
+    assert sorted((r["id"], r["admitted"]) for r in found.collect()) == sorted(expected)
+    # One pass over the calls for what blocks leave behind, one for the decisions.
+    assert [label for label, _ in copies] == ["calls", "ends"]
+    ends = copies[1][1].collect()
+    assert sum(r["client"] == 1 for r in ends) >= 100
+    assert all(r["__live"] is None for r in ends if r["client"] == 1)
+    assert any(r["__live"] is not None for r in ends if r["client"] == 2)
+
+
+def test_known_ends_do_not_depend_on_the_past():
+    draw = random.Random(5)
+    known = 0
+    for _ in range(400):
+        times = sorted(draw.randint(0, 400) for _ in range(draw.randint(1, 60)))
+        limit, window = draw.randint(1, 4), draw.randint(5, 60)
+        live = known_end(np.array(times), limit, window)
+        known += live is not None
+        for past in ([], [times[0] - window + 1] * limit, [times[0]] * (limit - 1)):
+            if live is not None:
+                after = times[-1]
+                assert [t for t in admit(times, past, limit, window)[1] if t > after - window] == [
+                    t for t in live if t > after - window
+                ]
+    assert 20 < known < 380
+
+
 def test_feature_job_split(spark):
     rows = sales_dirty(spark, f"{TESTDATA}/sf0.001")
     order = ["sale_date", "property_id", "l_orderkey", "l_linenumber"]

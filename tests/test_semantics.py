@@ -272,6 +272,46 @@ def test_point_in_time_edges(spark):
         joins.historical_features(spine, [view], ["f:w"])
 
 
+def test_null_entities_have_no_history(spark):
+    history = spark.createDataFrame(
+        [(None, DAY, DAY, 1), ("e", DAY, DAY, 2)], "id STRING, event_timestamp TIMESTAMP_NTZ, created_timestamp TIMESTAMP_NTZ, v INT"
+    )
+    spine = spark.createDataFrame([(None, DAY), ("e", DAY)], "id STRING, event_timestamp TIMESTAMP_NTZ")
+    found = joins.point_in_time(spine, joins.FeatureView("f", history, "id", ("v",))).collect()
+    assert {r["id"]: r["v"] for r in found} == {None: None, "e": 2}
+
+
+def test_repeated_actuals_count_once(spark):
+    predictions = spark.createDataFrame([("a", 10.0), ("b", 20.0), ("c", 5.0)], "id STRING, prediction DOUBLE")
+    rows = [("a", 12.0, 2), ("a", 30.0, 1), ("a", 11.0, 2), ("b", None, 3), ("b", 24.0, 1), ("z", 1.0, 1)]
+    actuals = spark.createDataFrame(rows, "id STRING, actual DOUBLE, at INT")
+    newest = joins.delayed_metrics(predictions, actuals, "id", arrived="at").first()
+    assert (newest["mae"], newest["waiting"]) == (3.0, 1)
+    largest = joins.delayed_metrics(predictions, actuals, "id").first()
+    assert (largest["mae"], largest["waiting"]) == (12.0, 1)
+
+
+def test_a_member_without_weight_is_refused(spark):
+    predictions = spark.createDataFrame([(1, "m", 10.0), (1, "n", 20.0)], "row_id INT, member STRING, prediction DOUBLE")
+    weights = spark.createDataFrame([("m", 1.0)], "member STRING, weight DOUBLE")
+    both = weights.union(spark.createDataFrame([("n", 3.0)], "member STRING, weight DOUBLE"))
+    assert scoring.ensemble_long(predictions, both).first()["ensemble"] == 17.5
+    with pytest.raises(Exception, match="no weight for member n"):
+        scoring.ensemble_long(predictions, weights).collect()
+
+
+def test_cumulative_quantile_equals_the_long_form(spark):
+    rows = [(1, [0, 0, 4, 10, 10]), (2, [10, 10, 10, 10, 10]), (3, [0, 0, 0, 0, 7]), (4, [0] * 5), (5, [1, 1, 1, 3, 20])]
+    df = spark.createDataFrame(rows, "k INT, c ARRAY<BIGINT>")
+    bounds = [0.1, 0.5, 1.0, 2.0]
+    entries = [F.struct(F.lit(b).alias("le"), F.col("c")[i].alias("cumulative")) for i, b in enumerate([*bounds, float("inf")])]
+    for q in (0.5, 0.95):
+        long = alerts.bucket_quantile(df.select("k", F.col("c")[4].alias("n"), F.inline(F.array(*entries))), ["k"], q)
+        want = {r["k"]: r["quantile"] for r in long.collect()}
+        got = {r["k"]: r["q"] for r in df.select("k", alerts.cumulative_quantile(F.col("c"), bounds, q).alias("q")).collect()}
+        assert got == {**want, 4: None}
+
+
 def test_repeated_spine_rows_stay(spark):
     history = spark.createDataFrame([("e", DAY, DAY, 1)], "id STRING, event_timestamp TIMESTAMP_NTZ, created_timestamp TIMESTAMP_NTZ, v INT")
     spine = spark.createDataFrame([("e", DAY)] * 3, "id STRING, event_timestamp TIMESTAMP_NTZ")

@@ -86,14 +86,22 @@ def test_late_requests_are_counted(spark):
 
 
 def test_admission_state_crosses_batches(spark):
-    times = [0, 10, 20, 59, 61, 75, 200]
-    calls = [(i, 1, START + timedelta(seconds=s), 200, 1.0) for i, s in enumerate(times)]
-    path = write_steps(spark, [calls[:2], calls[2:5], calls[5:]], LOG)
+    """Calls come out of order within the delay; a late call is decided in its place, one behind the watermark is dropped."""
+    seconds = {0: 0, 1: 10, 2: 20, 3: 59, 4: 61, 5: 75, 6: 200}
+
+    def call(i, s=None, client=1):
+        return (i, client, START + timedelta(seconds=seconds[i] if s is None else s), 200, 1.0)
+
+    marks = [(None, None, START + timedelta(days=d), None, None) for d in (1, 2)]
+    steps = [[call(4), call(0)], [call(5), call(2), call(1)], [call(6), call(3)], marks[:1], [call(9, 30), call(8, 100_000, 2)], marks[1:]]
+    path = write_steps(spark, steps, LOG)
     decided = monitors.stream_admissions(read_steps(spark, path, LOG), "client", "ts", "event_id", 2, 60)
     rows, _ = drain_to_files(decided, "admit")
-    assert {r["event_id"]: r["admitted"] for r in rows.collect()} == {
-        0: True, 1: True, 2: False, 3: False, 4: True, 5: True, 6: True
+    found = [r for r in rows.collect() if r["event_id"] is not None]
+    assert {r["event_id"]: r["admitted"] for r in found} == {
+        0: True, 1: True, 2: False, 3: False, 4: True, 5: True, 6: True, 8: True
     }
+    assert {r["event_id"]: r["ts"] for r in found}[3] == START + timedelta(seconds=59)
 
 
 def test_latest_features_survive_compaction(spark, tmp_path):
