@@ -1,4 +1,4 @@
-"""Complete training run: clean, derive, split, tune, cross-validate, fit, test, record."""
+"""Complete training run: clean, derive, split, tune, cross-validate, fit, test, record, store, register."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.models.estimators import fit_early_stopping, gradient_boosting, evaluate, with_label
 from parcelwise.models.evaluation import cross_validate
+from parcelwise.models.store import ModelStore
 from parcelwise.models.tuning import random_search
 from parcelwise.operators.cleaning import fit_median_imputer, keep_first, trim_upper
 from parcelwise.operators.encoding import FeatureFit
@@ -19,6 +20,8 @@ from parcelwise.operators.validation import validation_report
 from parcelwise.scale import written
 from parcelwise.sources.publish import append_tracking, metric_rows
 
+METRICS = ("mae", "rmse", "r2", "mape")
+
 
 @dataclass
 class TrainingSettings:
@@ -29,7 +32,10 @@ class TrainingSettings:
     folds: int = 5
     trials: int = 20
     search: dict[str, tuple[float, float]] = field(default_factory=dict)
+    stat_folds: int = 5
     tracking_root: str | None = None
+    store: ModelStore | None = None
+    model_name: str = "sale_price"
     run_id: str = "run"
 
 
@@ -43,6 +49,7 @@ class TrainingResult:
     fold_metrics: DataFrame
     fold_summary: DataFrame
     test_metrics: DataFrame
+    version: str | None = None
 
 
 def prepare(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -63,12 +70,12 @@ def train(df: DataFrame, settings: TrainingSettings) -> TrainingResult:
     val_at, test_at = split_cuts(n, s.scheme)
     at = F.col("position")
 
-    fit = FeatureFit(exclude=("price", *s.keys, s.ts, "position", "fraction", "label", "created_at")).fit(
-        placed.filter(at < val_at)
-    )
-    ready = written(
-        fit.apply(placed).select(*s.keys, s.ts, "position", "price", "label", "features"), "features"
-    )
+    fit = FeatureFit(exclude=("price", *s.keys, s.ts, "position", "fraction", "label", "created_at"))
+    # Training rows get group statistics without their own fold; later rows get those of all training rows.
+    kept = [*s.keys, s.ts, "position", "price", "label", "features"]
+    fold = F.pmod(F.xxhash64(*s.order), F.lit(s.stat_folds))
+    fitted = fit.fit_training(placed.filter(at < val_at), fold, s.stat_folds).select(*kept)
+    ready = written(fitted.unionByName(fit.apply(placed.filter(at >= val_at)).select(*kept)), "features")
     # The scaled column replaces nothing here: price and label come from before scaling.
     train_rows, val_rows = ready.filter(at < val_at), ready.filter((at >= val_at) & (at < test_at))
     test_rows = ready.filter(at >= test_at)
@@ -81,6 +88,10 @@ def train(df: DataFrame, settings: TrainingSettings) -> TrainingResult:
             {"run": F.lit(s.run_id), "at": F.unix_millis(F.current_timestamp()), "step": F.lit(0)}
         )
         append_tracking(
-            metric_rows(stamped, "run", ["mae", "rmse", "r2", "mape"], "at", "step"), s.tracking_root, "metrics"
+            metric_rows(stamped, "run", METRICS, "at", "step"), s.tracking_root, "metrics", s.run_id
         )
-    return TrainingResult(model, fit, best, report, trials, folds, summary, tested)
+    version = None
+    if s.store:
+        found = tested.first()
+        version = s.store.register(s.model_name, s.run_id, model, best, {m: found[m] for m in METRICS}, fit)
+    return TrainingResult(model, fit, best, report, trials, folds, summary, tested, version)

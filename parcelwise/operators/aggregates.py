@@ -52,6 +52,17 @@ def fit_group_stats(df: DataFrame, keys: Sequence[str] = ("zipcode",)) -> GroupS
     return GroupStats(tuple(keys), lookup_side(group_stats(df, keys)))
 
 
+def out_of_fold_stats(df: DataFrame, keys: Sequence[str], fold: str, folds: int) -> DataFrame:
+    """`df` with the statistics of its group over all other folds: a row's own target is in none of them.
+
+    Every row is counted for each fold but its own (column `fold`, from 0), in one aggregation."""
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col(fold))
+    needed = [*keys, "price", "square_feet", "property_age"]
+    spread = df.select(*needed, F.explode(others).alias("__fold"))
+    stats = group_stats(spread, [*keys, "__fold"]).withColumnRenamed("__fold", fold)
+    return join_keys(df, lookup_side(stats), [*keys, fold])
+
+
 def relative_price(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {

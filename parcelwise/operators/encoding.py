@@ -13,10 +13,10 @@ from pyspark.sql import Window
 
 from parcelwise.functions.columns import numeric_columns, sanitize
 from parcelwise.functions.features import flag, training_features
-from parcelwise.operators.aggregates import GroupStats, fit_group_stats
+from parcelwise.operators.aggregates import GroupStats, fit_group_stats, out_of_fold_stats
 from parcelwise.operators.ordering import rank_within
 from parcelwise.operators.quantiles import quantile_values
-from parcelwise.scale import MAX_GROUP_ROWS, MAX_SMALL_ROWS, join_keys, small_rows
+from parcelwise.scale import MAX_GROUP_ROWS, MAX_SMALL_ROWS, join_keys, small_rows, written
 
 
 def frequency_index(df: DataFrame, column: str, out: str, sizes: DataFrame | None = None) -> DataFrame:
@@ -115,8 +115,9 @@ def grid_cells(df: DataFrame, lat: str = "latitude", lon: str = "longitude", coa
 class FeatureFit:
     """Derived, calendar and group features, sanitised, scaled and optionally projected.
 
-    Group statistics, scale and projection come from `fit` alone; `apply` never looks at the
-    distribution of the frame it transforms."""
+    Group statistics, scale and projection come from the fit alone; `apply` never looks at the
+    distribution of the frame it transforms. Rows that a model is trained on come from `fit_training`, whose
+    group statistics leave out the row's own fold and with it its price; later rows get the whole ones."""
 
     keys: tuple[str, ...] = ("zipcode",)
     exclude: tuple[str, ...] = ("price", "property_id", "sale_date", "created_at")
@@ -131,7 +132,17 @@ class FeatureFit:
 
     def fit(self, df: DataFrame) -> FeatureFit:
         self.stats = fit_group_stats(training_features(df), self.keys)
-        ready = self._prepared(df)
+        return self._fit_prepared(self._prepared(df))
+
+    def fit_training(self, df: DataFrame, fold: Column, folds: int = 5) -> DataFrame:
+        """Fit on `df` and return its features. `fold` (0 to `folds` - 1) should spread each group's rows."""
+        derived = training_features(df)
+        self.stats = fit_group_stats(derived, self.keys)
+        marked = derived.withColumn("__own", fold.cast("int"))
+        ready = written(sanitize(out_of_fold_stats(marked, self.keys, "__own", folds).drop("__own")), "training-features")
+        return self._fit_prepared(ready)._assembled(ready)
+
+    def _fit_prepared(self, ready: DataFrame) -> FeatureFit:
         self.columns = tuple(c for c in numeric_columns(ready) if c not in self.exclude)
         self.scale = fit_robust_scale(ready, self.columns)
         if self.components:
@@ -142,5 +153,8 @@ class FeatureFit:
     def apply(self, df: DataFrame) -> DataFrame:
         if self.scale is None:
             raise ValueError("fit the features before applying them")
-        out = assemble(self.scale.apply(self._prepared(df)), self.columns)
+        return self._assembled(self._prepared(df))
+
+    def _assembled(self, ready: DataFrame) -> DataFrame:
+        out = assemble(self.scale.apply(ready), self.columns)
         return out if self.projection is None else self.projection.transform(out)

@@ -14,7 +14,7 @@ from parcelwise.scale import MAX_GROUP_ROWS, join_keys
 
 
 def registered_versions(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Versions v1, v2, ... in registration order with the hash of their parameters."""
+    """Versions v1, v2, ... in registration order with the hash of their parameters, and their runs if events name them."""
     added = events.filter(F.col("action") == "register")
     numbered = rank_within(
         added, ["model_name"], ["event_ts", "event_id"], "number", day_number(F.col("event_ts")), max_rows
@@ -25,6 +25,7 @@ def registered_versions(events: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> Da
         F.concat(F.lit("v"), F.col("number").cast("string")).alias("version"),
         params_hash(F.col("params")).alias("hash"),
         F.col("event_ts").alias("created_at"),
+        *[c for c in ("run_id",) if c in events.columns],
     )
 
 

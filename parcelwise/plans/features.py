@@ -14,6 +14,7 @@ from parcelwise.functions.columns import (
     select_numeric,
     select_ordered,
 )
+from parcelwise.models.store import load_features
 from parcelwise.operators.aggregates import cell_summary
 from parcelwise.operators.cleaning import (
     domain_filter,
@@ -35,8 +36,9 @@ from parcelwise.operators.encoding import (
     one_hot_vector,
 )
 from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, near, query, rnd, with_sales
-from parcelwise.scale import written
+from parcelwise.scale import fresh_path, written
 from parcelwise.schemas import BATCH_VECTOR, REQUEST_VECTOR, SERVICE_VECTOR
+from parcelwise.sources.backfill import DAY, backfill, backfilled
 from parcelwise.sources.sample_tables import SALE_ORDER, sales, sales_dirty, table
 
 # ---------------------------------------------------------------- cleaning
@@ -596,6 +598,68 @@ def e8_past(spark, folder):
     )
 
 
+PAST_SQL = f"sale_date < TIMESTAMP '{FIT_CUT}'"
+FIRSTS_SQL = """firsts AS (SELECT * FROM sales QUALIFY row_number() OVER (
+  PARTITION BY property_id, l_orderkey, l_linenumber, sale_date ORDER BY sale_date) = 1)"""
+WHOLE_STATS_SQL = f"""stats AS (SELECT zipcode, round(stddev_samp(price), 2) AS price_std FROM firsts
+  WHERE {PAST_SQL} GROUP BY zipcode)"""
+
+
+@query(
+    "e8_training_rows_out_of_fold",
+    with_sales(
+        f"SELECT {ID_SQL}, " + ", ".join(f"{_scaled_sql(c)} AS {c}" for c in FITTED) + " FROM prepared",
+        FIRSTS_SQL,
+        WHOLE_STATS_SQL,
+        f"""others AS (SELECT fold, zipcode, round(stddev_samp(price), 2) AS price_std
+              FROM firsts JOIN (SELECT unnest(range(5)) AS fold) ON l_orderkey % 5 <> fold WHERE {PAST_SQL} GROUP BY ALL)""",
+        f"""prepared AS (SELECT firsts.*, coalesce(CASE WHEN {PAST_SQL} THEN o.price_std ELSE s.price_std END, 0) AS price_std,
+             CAST(2024 - year_built AS DOUBLE) AS property_age, CAST(month(sale_date) AS DOUBLE) AS sale_month
+           FROM firsts LEFT JOIN stats s ON s.zipcode = firsts.zipcode
+           LEFT JOIN others o ON o.zipcode = firsts.zipcode AND o.fold = l_orderkey % 5)""",
+    ),
+)
+def e8_out_of_fold(spark, folder):
+    """Sales before the cut as training rows, later ones as rows to be scored."""
+    rows = written(keep_first(sales(spark, folder), list(ID), list(SALE_ORDER)), "sales")
+    old = F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz")
+    fit = FeatureFit(exclude=(*ID, "price"))
+    training = fit.fit_training(rows.filter(old), F.col("l_orderkey") % 5)
+    both = training.unionByName(fit.apply(rows.filter(~old)))
+    values = vector_to_array("features")
+    return both.select(*ID, *[near(values[fit.columns.index(c)], 6).alias(c) for c in FITTED])
+
+
+BACKFILL_SQL = f"""prepared AS (SELECT firsts.* REPLACE (square_feet AS square_feet), coalesce(price_std, 0) AS price_std,
+    CAST(2024 - year_built AS DOUBLE) AS property_age, CAST(month(sale_date) AS DOUBLE) AS sale_month
+  FROM firsts LEFT JOIN stats USING (zipcode))"""
+
+
+@query(
+    "s8_backfill",
+    with_sales(
+        f"SELECT {ID_SQL}, CAST(sale_date AS DATE) AS day, "
+        + ", ".join(f"{_scaled_sql(c)} AS {c}" for c in FITTED)
+        + " FROM prepared",
+        FIRSTS_SQL,
+        WHOLE_STATS_SQL,
+        BACKFILL_SQL,
+    ),
+)
+def s8_backfill(spark, folder):
+    """A first batch that the features are fitted on, all later sales in a second one, and a third without new rows."""
+    rows = written(keep_first(sales(spark, folder), list(ID), list(SALE_ORDER)), "sales")
+    root = fresh_path(spark, "backfill")
+    old = F.col("sale_date") < F.lit(FIT_CUT).cast("timestamp_ntz")
+    fit = FeatureFit(exclude=(*ID, "price", DAY))
+    fit.fit(rows.filter(old).withColumn(DAY, F.to_date("sale_date")))
+    for known in (rows.filter(old), rows, rows):
+        backfill(known, root, "sale_date", fit)
+    columns = load_features(spark, f"{root}/features").columns
+    values = vector_to_array("features")
+    return backfilled(spark, root).select(*ID, DAY, *[near(values[columns.index(c)], 6).alias(c) for c in FITTED])
+
+
 @query(
     "e5_explained_variance",
     with_sales(

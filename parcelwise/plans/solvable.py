@@ -5,7 +5,10 @@ be compared number by number."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.models import explain
@@ -20,12 +23,13 @@ from parcelwise.models.estimators import (
     with_label,
 )
 from parcelwise.models.evaluation import backtest, cross_validate
+from parcelwise.models.store import ModelStore
 from parcelwise.operators import splits as sp
 from parcelwise.operators.encoding import assemble
 from parcelwise.plans.aggregates import METRIC_COLUMNS, METRIC_DIGITS, METRIC_SQL, _rounded
 from parcelwise.plans.catalog import ID, ID_SQL, near, query, rnd, with_sales
 from parcelwise.plans.modeling import BACKTEST, DAYS_SQL, ORDER, PLACED, SHARE_SQL
-from parcelwise.scale import written
+from parcelwise.scale import fresh_path, written
 from parcelwise.sources.sample_tables import sales
 
 KEY = ["property_id", "l_orderkey", "l_linenumber", "sale_date"]
@@ -248,3 +252,36 @@ def linear_comparison(spark, folder):
     flat = _linear().setRegParam(1e9)
     found = compare_models({"line": _linear(), "mean": flat}, past, later)
     return found.select("model", *_near("mae", "rmse", "r2"))
+
+
+def _line_metrics_sql(version: str, stage: str, run: str, where: str) -> str:
+    return f"""SELECT '{version}' AS version, '{stage}' AS stage, '{run}' AS run_id, {METRIC_COLUMNS} FROM (
+      SELECT exp(a + b * x) - 1 AS prediction, price AS actual FROM xy,
+        (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM xy WHERE {where}) WHERE NOT ({PAST}))"""
+
+
+@query(
+    "m24_registered_version",
+    with_sales(
+        _line_metrics_sql("v1", "archived", "past", PAST)
+        + " UNION ALL "
+        + _line_metrics_sql("v2", "production", "all", "true"),
+        XY,
+    ),
+)
+def registered_version(spark, folder):
+    """Two runs are stored and registered, one of them twice; both versions are read back and score later sales."""
+    rows = _rows(spark, folder)
+    past, later = _by_date(rows)
+    store = ModelStore(spark, fresh_path(spark, "models"))
+    for run, known in (("past", past), ("all", rows), ("past", past)):
+        store.register("line", run, _linear().fit(known), {"run": run}, {})
+    for version in ("v1", "v2"):
+        store.promote("line", version)
+    scored = []
+    for row in store.state().select("version", "stage").collect():
+        loaded = store.load("line", row["version"])
+        metrics = _rounded(evaluate(loaded.model, later))
+        named = {"version": row["version"], "stage": row["stage"], "run_id": loaded.run_id}
+        scored.append(metrics.select(*[F.lit(v).alias(c) for c, v in named.items()], *metrics.columns))
+    return reduce(DataFrame.unionByName, scored)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,10 @@ def online_features(df: DataFrame, key: str, features: Sequence[str], event: str
     return ready.unpivot(ids, list(features), "feature_name", "feature_value")
 
 
-def append_tracking(df: DataFrame, root: str, table: str) -> None:
-    """Append rows to a tracking table after putting them into its declared schema."""
+def append_tracking(df: DataFrame, root: str, table: str, batch: str | None = None) -> None:
+    """Append rows to a tracking table after putting them into its declared schema.
+
+    A named batch, such as a run, replaces what an earlier try of it has written."""
     shape = df.sparkSession.createDataFrame([], TRACKING_TABLES[table]).schema
     cols = [
         F.col(f.name).cast(f.dataType).alias(f.name)
@@ -33,11 +36,12 @@ def append_tracking(df: DataFrame, root: str, table: str) -> None:
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in shape.fields
     ]
-    df.select(*cols).write.mode("append").parquet(f"{root}/{table}")
+    df.select(*cols).write.mode("overwrite").parquet(f"{root}/{table}/{batch or uuid.uuid4().hex}")
 
 
 def read_tracking(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.schema(TRACKING_TABLES[table]).parquet(f"{root}/{table}")
+    reader = spark.read.schema(TRACKING_TABLES[table]).option("recursiveFileLookup", True)
+    return reader.parquet(f"{root}/{table}")
 
 
 def metric_rows(df: DataFrame, run_id: str, metrics: Sequence[str], timestamp: str, step: str) -> DataFrame:

@@ -17,12 +17,14 @@ from parcelwise.models.estimators import (
     with_label,
 )
 from parcelwise.models.evaluation import backtest, cross_validate
+from parcelwise.models.store import ModelStore, load_features
 from parcelwise.models.training import TrainingSettings, train
 from parcelwise.models.tuning import random_search, sample_params, search_history
 from parcelwise.operators.encoding import FeatureFit, assemble, fit_pca
 from parcelwise.operators.selection import top_factors, top_features
 from parcelwise.operators.splits import chronological_position, fold_table
 from parcelwise.schemas import REQUEST_VECTOR
+from parcelwise.sources.backfill import backfill, backfilled, mark_of
 from parcelwise.sources.publish import read_tracking
 
 NAMES = ["size", "age", "noise"]
@@ -193,13 +195,86 @@ def test_apply_does_not_look_at_the_applied_frame(houses):
     assert repriced == alone
 
 
+def test_training_rows_do_not_see_their_own_price(houses):
+    fold = F.col("property_id") % 5
+
+    def statistics(df):
+        fit = FeatureFit()
+        rows = fit.fit_training(df, fold)
+        return rows, fit
+
+    def features(df, wanted):
+        rows, fit = statistics(df)
+        found = rows.filter(wanted).withColumn("f", vector_to_array("features")).collect()
+        at = [fit.columns.index(c) for c in ("price_mean", "price_median", "price_std")]
+        return {r["property_id"]: [r["f"][k] * fit.scale.spread[fit.columns[k]] + fit.scale.center[fit.columns[k]] for k in at] for r in found}
+
+    same_fold = F.col("property_id") % 5 == 2
+    dear = houses.withColumn("price", F.when(same_fold, F.col("price") * 50).otherwise(F.col("price")))
+    before, after = features(houses, same_fold), features(dear, same_fold)
+    assert all(before[k] == pytest.approx(after[k], abs=0.02) for k in before)
+    assert features(houses, ~same_fold) != features(dear, ~same_fold)
+    # Later rows get the statistics of all training rows.
+    whole = statistics(houses)[1].stats.table.collect()
+    counted = {r["zipcode"]: r["price_mean"] for r in whole}
+    for zipcode, mean in houses.groupBy("zipcode").agg(F.round(F.avg("price"), 2)).collect():
+        assert counted[zipcode] == mean
+
+
 def test_training_run_records_its_metrics(houses, spark, tmp_path):
+    store = ModelStore(spark, str(tmp_path / "models"))
     settings = TrainingSettings(
         trials=2, folds=2, search={"n_estimators": (10, 15), "num_leaves": (8, 16), "learning_rate": (0.2, 0.3), "min_child_samples": (2, 5)},
-        tracking_root=str(tmp_path), run_id="r1",
+        tracking_root=str(tmp_path / "tracking"), store=store, run_id="r1",
     )
-    result = train(houses, settings)
-    assert result.test_metrics.first()["r2"] > 0.5
+    for _ in range(2):
+        result = train(houses, settings)
+    assert result.test_metrics.first()["r2"] > 0.5 and result.version == "v1"
     assert result.report.filter("check = 'range' and column = 'price'").first()["passed"]
-    recorded = read_tracking(spark, str(tmp_path), "metrics").collect()
-    assert {r["key"] for r in recorded} == {"mae", "rmse", "r2", "mape"} and {r["run_id"] for r in recorded} == {"r1"}
+    recorded = read_tracking(spark, str(tmp_path / "tracking"), "metrics").collect()
+    assert sorted(r["key"] for r in recorded) == ["mae", "mape", "r2", "rmse"] and {r["run_id"] for r in recorded} == {"r1"}
+    assert [tuple(r) for r in store.state().select("version", "stage", "run_id").collect()] == [("v1", "staging", "r1")]
+    loaded = store.load("sale_price", "v1")
+    rows = houses.limit(20)
+    again = predict_price(loaded.model, loaded.features.apply(rows)).select("property_id", "prediction")
+    direct = predict_price(result.model, result.features.apply(rows)).select("property_id", "prediction")
+    assert sorted(again.collect()) == sorted(direct.collect())
+    with pytest.raises(ValueError):
+        store.load("sale_price")
+    store.promote("sale_price", "v1")
+    assert store.load("sale_price").run_id == "r1"
+
+
+def test_artefacts_without_an_event_are_written_again(houses, spark, tmp_path):
+    store = ModelStore(spark, str(tmp_path))
+    fit = FeatureFit(components=2).fit(houses)
+    rows = with_label(fit.apply(houses))
+    first, second = (random_forest(numTrees=n, maxDepth=2).fit(rows) for n in (1, 3))
+    # A run that stopped before its event.
+    PipelineModel([first]).write().save(store._artefacts("m", "r"))
+    assert store.state().count() == 0
+    assert store.register("m", "r", second, {}, {"mae": 1.0}, fit) == "v1"
+    assert store.register("m", "r", first, {}, {"mae": 2.0}) == "v1"
+    loaded = store.load("m", "v1")
+    assert loaded.model.stages[0].getNumTrees == 3
+    assert loaded.features.apply(houses.limit(5)).select("projected").collect() == fit.apply(houses.limit(5)).select("projected").collect()
+
+
+def test_backfill_repeats_without_change(houses, spark, tmp_path):
+    root = str(tmp_path)
+    early = houses.filter("sale_date < '2020-06-01 12:00:00'")
+    n = backfill(early, root, "sale_date")
+    assert n == early.count() and backfill(early, root, "sale_date") == 0
+    once = load_features(spark, f"{root}/features")
+    # A later row on the last day, a new day, and a late row of a closed day, which stays out.
+    extra = houses.limit(1).withColumn("property_id", F.lit(900))
+    later = houses.union(extra.withColumn("sale_date", F.lit("2020-05-30 23:00:00").cast("timestamp_ntz")))
+    later = later.union(extra.withColumn("sale_date", F.lit("2020-02-01 23:00:00").cast("timestamp_ntz")))
+    mark = mark_of(spark, root)
+    assert backfill(later, root, "sale_date") == later.filter(F.col("sale_date") > F.lit(mark)).count()
+    first = sorted(map(str, backfilled(spark, root).collect()))
+    assert len(first) == houses.count() and load_features(spark, f"{root}/features") .scale == once.scale
+    # Rows written but the mark not moved: the next run writes the same rows.
+    spark.range(1).select(F.lit(mark).cast("timestamp_ntz").alias("mark")).coalesce(1).write.mode("overwrite").parquet(f"{root}/mark/upto")
+    assert backfill(later, root, "sale_date") > 0
+    assert sorted(map(str, backfilled(spark, root).collect())) == first
