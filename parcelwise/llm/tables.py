@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwise.scale import fresh_path
@@ -38,3 +41,39 @@ def stored_chunks(docs: DataFrame, label: str, text: str = "text", chunk_bytes:
     docs.write.option("maxRecordsPerFile", per_file).option("compression", "zstd").parquet(path)
     copy = docs.sparkSession.read.schema(docs.schema).parquet(path)
     return copy.select("*", F.xxhash64(F.col("_metadata.file_path")).alias("chunk"))
+
+
+def packer() -> Callable[[bytes], bytes]:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+
+
+def unpacker() -> Callable[[bytes], bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress
+
+
+def compressed(text: Column) -> Column:
+    """zstd frames of texts, for exchanges: Spark's own codec leaves prose nearly as long as it is. Null is empty."""
+
+    @F.arrow_udf("binary")
+    def shrink(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pack = packer()
+        for texts in batches:
+            yield pa.array([pack(t.as_py() or b"") for t in texts.cast(pa.binary())], pa.binary())
+
+    return shrink(text)
+
+
+def uncompressed(frame: Column) -> Column:
+    """Texts of zstd frames."""
+
+    @F.arrow_udf("string")
+    def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = unpacker()
+        for frames in batches:
+            yield pa.array([own(f.as_py()) for f in frames], pa.binary()).cast(pa.string())
+
+    return unpack(frame)
