@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -100,14 +101,15 @@ def firing(
     rule: str,
     ts: str,
     holds: Column,
-    step: int,
+    step: int | Column,
     lasting: int | Column,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Stretches in which a condition holds at every evaluation for at least `lasting` seconds.
 
-    `step` is the evaluation interval in seconds; a missing evaluation ends the stretch. Ticks are
-    ranked per rule and day, so a rule with a long history is not one task."""
+    `step` is the evaluation interval in seconds; a missing evaluation ends the stretch. Both may depend on
+    the rule. Ticks are ranked per rule and day, so a rule with a long history is not one task."""
+    step = (F.lit(step) if isinstance(step, int) else step).cast("long")
     tick = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (step * 1_000_000))
     true_rows = conditions.filter(holds).select(rule, ts, tick.alias("__tick"))
     ranked = rank_within(true_rows, [rule], ["__tick"], "__rank", F.floor(F.col("__tick") * step / 86_400), max_rows)
@@ -123,6 +125,52 @@ def firing(
     return stretches.filter(F.col("seconds") >= lasting).drop("__island")
 
 
+@dataclass(frozen=True)
+class AlertRule:
+    """Fires when `metric` is beyond `threshold` at every evaluation, `step` seconds apart, for `lasting` seconds."""
+
+    name: str
+    metric: str
+    direction: str
+    threshold: float
+    lasting: int
+    severity: str
+    step: int = 60
+
+
+# Alert rules.
+ALERT_RULES = (
+    AlertRule("HighLatency", "latency_p95", "above", 0.5, 300, "warning"),
+    AlertRule("HighErrorRate", "error_rate", "above", 0.05, 120, "critical"),
+    AlertRule("ModelNotLoaded", "model_loaded", "below", 1, 60, "critical"),
+    AlertRule("ModelPerformanceDegradation", "mae", "above", 50_000, 1800, "warning"),
+    AlertRule("DataDrift", "drift_score", "above", 0.2, 3600, "warning"),
+    AlertRule("HighCPUUsage", "cpu_rate", "above", 0.8, 600, "warning"),
+    AlertRule("HighMemoryUsage", "memory_bytes", "above", 2e9, 300, "warning"),
+)
+
+
+def alert_table(
+    series: DataFrame, rules: Sequence[AlertRule] = ALERT_RULES, ts: str = "ts", max_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Firing stretches of all rules over (metric, ts, value) rows, each rule with its own threshold, step and
+    duration. A null or NaN value is a missing evaluation."""
+
+    def of(field: str) -> Column:
+        pairs = [F.lit(x) for r in rules for x in (r.name, getattr(r, field))]
+        return F.create_map(*pairs)[F.col("rule")]
+
+    by_metric: dict[str, list[str]] = {}
+    for r in rules:
+        by_metric.setdefault(r.metric, []).append(r.name)
+    wanted = [F.when(F.col("metric") == m, F.array(*map(F.lit, names))) for m, names in by_metric.items()]
+    conditions = series.filter(~F.isnan("value")).select(ts, "value", F.explode(F.coalesce(*wanted)).alias("rule"))
+    threshold = of("threshold")
+    holds = F.when(of("direction") == "above", F.col("value") > threshold).otherwise(F.col("value") < threshold)
+    fired = firing(conditions, "rule", ts, holds, of("step"), of("lasting"), max_rows)
+    return fired.withColumn("severity", of("severity"))
+
+
 def threshold_board(metrics: DataFrame, thresholds: Sequence[tuple[str, str, float]] = THRESHOLDS) -> DataFrame:
     """(metric, value) rows with their threshold and whether it is breached."""
     bound, side = F.lit(None).cast("double"), F.lit(None).cast("string")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions.columns import nan_to_null, numeric_columns
 from parcelwise.operators.quantiles import quantile_values, quantiles
-from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side
+from parcelwise.scale import MAX_GROUP_ROWS, join_keys, lookup_side, written
 from parcelwise.schemas import CLEAN_DEFAULTS
 
 
@@ -49,9 +49,10 @@ def impute_by_group(
 ) -> DataFrame:
     """Missing values, NaN among them, to the group median, then the overall median; other columns to constants."""
     df = nan_to_null(df, medians)
-    per_group = quantiles(df, medians, [0.5], keys, max_rows=max_rows)
+    slim = written(df.select(*dict.fromkeys([*keys, *medians])), "imputed-columns")
+    per_group = quantiles(slim, medians, [0.5], keys, max_rows=max_rows, stored=True)
     per_group = per_group.select(*keys, *[F.col(c)[0].alias(f"__med_{c}") for c in medians])
-    overall = quantile_values(df, medians, [0.5], max_rows=max_rows)
+    overall = quantile_values(slim, medians, [0.5], max_rows=max_rows, stored=True)
     joined = join_keys(df, lookup_side(per_group), keys)
     for c in medians:
         filled = F.coalesce(c, f"__med_{c}", F.lit(overall[c][0]))
@@ -84,7 +85,8 @@ def trim_upper(
     df: DataFrame, cols: Sequence[str], prob: float = 0.99, max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Drop rows above the quantile of each column in turn; later columns see the earlier trims."""
+    slim = written(df.select(*cols), "trimmed-columns")
     for c in cols:
-        bound = quantile_values(df, [c], [prob], max_rows=max_rows)[c][0]
-        df = df.filter(F.col(c) <= F.lit(bound))
+        bound = quantile_values(slim, [c], [prob], max_rows=max_rows, stored=True)[c][0]
+        df, slim = (rows.filter(F.col(c) <= F.lit(bound)) for rows in (df, slim))
     return df

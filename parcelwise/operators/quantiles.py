@@ -23,10 +23,12 @@ def quantiles(
     keys: Sequence[str] = (),
     exact: bool = True,
     max_rows: int = MAX_GROUP_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per group; every column of `cols` becomes the array of its quantiles at `probs`.
 
-    Nulls and NaN are ignored. Groups within `max_rows` use `percentile`, which buffers the distinct values
+    Exact ones take several passes. `df`, which may be a join of large tables, is read once: its columns
+    are written and the passes read the copy, unless `stored` says that it is such a copy already. Nulls and NaN are ignored. Groups within `max_rows` use `percentile`, which buffers the distinct values
     of a group in one task. Larger groups are read twice: a mergeable sketch brackets each quantile,
     then only the values inside the brackets are counted and ranked. Should a bracket miss, all
     values are counted instead. `exact=False` returns the sketch itself."""
@@ -35,6 +37,8 @@ def quantiles(
     if not exact:
         sketch = [F.percentile_approx(F.col(c).cast("double"), points, 10 * ACCURACY).alias(c) for c in cols]
         return df.groupBy(*keys).agg(*sketch)
+    if not stored:
+        df = written(df, "quantile-columns")
     if largest_group(df, keys) <= max_rows:
         return df.groupBy(*keys).agg(*[F.percentile(c, points).alias(c) for c in cols])
     found = _from_brackets(df, cols, probs, list(keys), max_rows)
@@ -132,8 +136,8 @@ def _wide(picked: DataFrame, cols: Sequence[str], probs: Sequence[float], keys:
 
 
 def quantile_values(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], max_rows: int = MAX_GROUP_ROWS, stored: bool = False
 ) -> dict[str, list[float]]:
     """Quantiles of the whole frame as Python numbers, for fitted statistics and filter bounds."""
-    row = quantiles(df, cols, probs, max_rows=max_rows).first()
+    row = quantiles(df, cols, probs, max_rows=max_rows, stored=stored).first()
     return {c: list(row[c] or [None] * len(probs)) for c in cols}

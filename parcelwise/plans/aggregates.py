@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from parcelwise.functions.columns import row_fingerprint
+from parcelwise.functions.columns import numeric_columns, row_fingerprint
 from parcelwise.functions.features import age_features, price_room_features
 from parcelwise.operators import aggregates as agg
 from parcelwise.operators import joins
@@ -16,10 +16,12 @@ from parcelwise.operators.ordering import day_number, rolling_rows
 from parcelwise.operators.selection import top_factors, top_features
 from parcelwise.operators.splits import chronological_position
 from parcelwise.plans.catalog import (
+    COLUMNS,
     DIRTY,
     HISTORY,
     ID,
     ID_SQL,
+    NUMBERS,
     ORDER_SQL,
     PREDICTIONS,
     REQUESTS,
@@ -90,8 +92,8 @@ def a2_loo(spark, folder):
     return rows.select(*ID, near("others_mean").alias("others_mean"))
 
 
-PROFILED = ["property_id", "sale_date", "square_feet", "zipcode", "pool"]
-KINDS = {"property_id": "numeric", "sale_date": "other", "square_feet": "numeric", "zipcode": "categorical", "pool": "other"}
+PROFILED = COLUMNS
+KINDS = {c: "numeric" if c in NUMBERS or (c in ID and c != "sale_date") else "other" for c in COLUMNS} | {"zipcode": "categorical"}
 
 
 def _profile_sql() -> str:
@@ -120,7 +122,7 @@ def _profile_sql() -> str:
 
 @query("a3_table_profile", _profile_sql())
 def a3(spark, folder):
-    return agg.table_profile(sales_dirty(spark, folder).select(*PROFILED), "sale_date")
+    return agg.table_profile(sales_dirty(spark, folder), "sale_date")
 
 
 @query(
@@ -147,7 +149,7 @@ def a4_log(spark, folder):
     return agg.fixed_histogram(rows, "v", 50).select("bin", "n")
 
 
-CORRELATED = ["price", "square_feet", "year_built", "condition_score"]
+CORRELATED = NUMBERS
 
 
 @query(
@@ -168,7 +170,8 @@ CORRELATED = ["price", "square_feet", "year_built", "condition_score"]
 )
 def a5(spark, folder):
     rows = sales_dirty(spark, folder)
-    return agg.correlation_matrix(rows, CORRELATED).withColumn("correlation", near("correlation", 6))
+    cols = [c for c in numeric_columns(rows) if c not in ID]
+    return agg.correlation_matrix(rows, cols).withColumn("correlation", near("correlation", 6))
 
 
 METRIC_SQL = {

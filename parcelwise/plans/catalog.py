@@ -104,5 +104,15 @@ ID_SQL = ", ".join(ID)
 ORDER_SQL = "sale_date, property_id, l_orderkey, l_linenumber"
 
 
+# All columns of `sales`, and its numeric ones that identify nothing.
+COLUMNS = (
+    "property_id l_orderkey l_linenumber sale_date price square_feet bedrooms bathrooms year_built lot_size zipcode"
+    " location_id latitude longitude pool fireplace garage_spaces condition_score"
+).split()
+NUMBERS = (
+    "price square_feet bedrooms bathrooms year_built lot_size location_id latitude longitude garage_spaces condition_score"
+).split()
+
+
 def with_sales(body: str, *more: str) -> str:
     return "WITH " + ", ".join([SALES, *more]) + " " + body

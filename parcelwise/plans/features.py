@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions import features as feats
 from parcelwise.functions.columns import (
+    numeric_columns,
     params_hash,
     row_fingerprint,
     sanitize,
@@ -35,7 +36,7 @@ from parcelwise.operators.encoding import (
     grid_cells,
     one_hot_vector,
 )
-from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, near, query, rnd, with_sales
+from parcelwise.plans.catalog import DIRTY, DOMAIN, FILLED, ID, ID_SQL, NUMBERS, near, query, rnd, with_sales
 from parcelwise.scale import fresh_path, written
 from parcelwise.schemas import BATCH_VECTOR, REQUEST_VECTOR, SERVICE_VECTOR
 from parcelwise.sources.backfill import DAY, backfill, backfilled
@@ -95,19 +96,16 @@ def c4(spark, folder):
 @query(
     "c5_impute_global_median",
     with_sales(
-        f"""SELECT {ID_SQL},
-              coalesce(square_feet, (SELECT median(square_feet) FROM dirty)) AS square_feet,
-              coalesce(CAST(bedrooms AS DOUBLE), (SELECT median(bedrooms) FROM dirty)) AS bedrooms,
-              coalesce(CAST(year_built AS DOUBLE), (SELECT median(year_built) FROM dirty)) AS year_built,
-              price
-            FROM dirty""",
+        f"SELECT {ID_SQL}, "
+        + ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median({c}) FROM dirty)) AS {c}" for c in NUMBERS)
+        + " FROM dirty",
         DIRTY,
     ),
 )
 def c5(spark, folder):
     dirty = sales_dirty(spark, folder)
-    cols = ["square_feet", "bedrooms", "year_built", "price"]
-    return fit_median_imputer(dirty, cols).apply(dirty).select(*ID, *cols)
+    cols = [c for c in numeric_columns(dirty) if c not in ID]
+    return fit_median_imputer(dirty, cols).apply(dirty).select(*ID, *[F.col(c).cast("double").alias(c) for c in cols])
 
 
 @query(
@@ -485,9 +483,6 @@ def e3(spark, folder):
     return totals.unpivot([], coded.columns, "category", "n")
 
 
-SCALED = ["square_feet", "price", "year_built", "condition_score"]
-
-
 @query(
     "e4_robust_scale",
     with_sales(
@@ -501,15 +496,16 @@ SCALED = ["square_feet", "price", "year_built", "condition_score"]
                 6,
             )
             + f" AS {c}"
-            for c in SCALED
+            for c in NUMBERS
         )
         + " FROM sales"
     ),
 )
 def e4(spark, folder):
     rows = sales(spark, folder)
-    scaled = fit_robust_scale(rows, SCALED).apply(rows)
-    return scaled.select(*ID, *[near(c, 6).alias(c) for c in SCALED])
+    cols = [c for c in numeric_columns(rows) if c not in ID]
+    scaled = fit_robust_scale(rows, cols).apply(rows)
+    return scaled.select(*ID, *[near(c, 6).alias(c) for c in cols])
 
 
 @query("e5_principal_components")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.operators import alerts
@@ -11,6 +14,7 @@ from parcelwise.operators import drift as dr
 from parcelwise.operators import validation as val
 from parcelwise.operators.aggregates import bucketed_histogram
 from parcelwise.plans.catalog import (
+    COLUMNS,
     DIRTY,
     ID,
     ID_SQL,
@@ -112,23 +116,20 @@ def v7_summary(spark, folder):
     return summary.withColumn("success_percent", near("success_percent"))
 
 
-SHARED = ["square_feet", "bedrooms", "year_built", "price", "zipcode"]
-
-
 @query(
     "v8_missing_shares",
     with_sales(
         "SELECT * FROM ("
         + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", {rnd(f'1 - count({c}) / CAST(count(*) AS DOUBLE)', 8)} AS missing_share FROM dirty"
-            for c in SHARED
+            for c in COLUMNS
         )
         + ") WHERE missing_share > 0.05",
         DIRTY,
     ),
 )
 def v8(spark, folder):
-    shares = val.missing_shares(sales_dirty(spark, folder).select(*SHARED), 0.05)
+    shares = val.missing_shares(sales_dirty(spark, folder), 0.05)
     return shares.withColumn("missing_share", near("missing_share", 8))
 
 
@@ -563,6 +564,77 @@ def d10(spark, folder):
     return alerts.firing(ratios, "rule", "window_end", F.col("breached"), step=60, lasting=120)
 
 
+DAILY = 86_400
+# Thresholds at which the given tables have alerts; durations are those of the rules.
+BOARD_RULES = tuple(
+    replace(r, threshold=limit, step=step)
+    for r in alerts.ALERT_RULES
+    for name, limit, step in (
+        ("HighLatency", 0.05, 60),
+        ("HighErrorRate", 0.05, 60),
+        ("ModelPerformanceDegradation", 12_000.0, DAILY),
+        ("DataDrift", 0.2, DAILY),
+    )
+    if r.name == name
+)
+RULE_ROWS = ", ".join(
+    f"('{r.name}', '{r.metric}', CAST({r.threshold} AS DOUBLE), {r.lasting}, CAST({r.step} AS BIGINT), '{r.severity}')" for r in BOARD_RULES
+)
+
+
+def _drift_series_sql(c: str) -> str:
+    return f"""SELECT day, sum((s - r) * ln(s / r)) AS v
+      FROM (SELECT d.day, f.bin, f.r, greatest(coalesce(k.n, 0) / CAST(d.t AS DOUBLE), 1e-4) AS s
+            FROM (SELECT CAST(sale_date AS DATE) AS day, count(*) AS t FROM bins_{c} WHERE NOT old GROUP BY day) d
+            CROSS JOIN ref_{c} f
+            LEFT JOIN (SELECT CAST(sale_date AS DATE) AS day, bin, count(*) AS n FROM bins_{c} WHERE NOT old GROUP BY ALL) k
+              ON k.day = d.day AND k.bin = f.bin) GROUP BY day"""
+
+
+@query(
+    "d10_alert_table",
+    with_sales(
+        """SELECT rule, min(ts) AS since, max(ts) AS until, CAST((max(tick) - min(tick)) * any_value(step) AS BIGINT) AS seconds,
+             any_value(severity) AS severity
+           FROM (SELECT *, tick - row_number() OVER (PARTITION BY rule ORDER BY tick) AS island FROM holding)
+           GROUP BY rule, island HAVING (max(tick) - min(tick)) * any_value(step) >= any_value(lasting)""",
+        *DRIFT_BASE,
+        ERROR_SQL,
+        PREDICTIONS,
+        f"""latencies AS ({_bucket_quantile_sql("(SELECT window_start, latency_ms / 1000 AS v FROM slid)", "window_start", 0.95)})""",
+        f"""series AS (
+             SELECT 'latency_p95' AS metric, window_start + INTERVAL 5 MINUTE AS ts, quantile AS v FROM latencies
+             UNION ALL SELECT 'error_rate', window_end, errors / CAST(n AS DOUBLE) FROM ratios
+             UNION ALL SELECT 'mae', date_trunc('day', ts), avg(abs(prediction - actual)) FROM predictions
+               WHERE actual IS NOT NULL GROUP BY ALL
+             UNION ALL SELECT 'drift_score', CAST(day AS TIMESTAMP), max(v)
+               FROM ({" UNION ALL ".join(map(_drift_series_sql, DRIFTED))}) GROUP BY day)""",
+        f"rules AS (SELECT * FROM (VALUES {RULE_ROWS}) r(rule, metric, threshold, lasting, step, severity))",
+        """holding AS (SELECT rule, ts, epoch_us(ts) // (step * 1000000) AS tick, lasting, step, severity
+             FROM series JOIN rules USING (metric) WHERE v > threshold)""",
+    ),
+)
+def d10_table(spark, folder):
+    """All rules that have a series here: latency and errors per minute, model error and drift per day."""
+    log = request_log(spark, folder)
+    buckets = alerts.windowed_buckets(log, "ts", F.col("latency_ms") / 1000)
+    latency = alerts.bucket_quantile(buckets, ["window_start"], 0.95)
+    end = F.col("window_start") + F.expr("INTERVAL 5 MINUTES")
+    daily = prediction_log(spark, folder).filter("actual is not null").groupBy(F.date_trunc("day", "ts").alias("ts"))
+    current, reference = _before_after(sales(spark, folder))
+    drift = dr.drift_scores(current, dr.fit_drift_bins(reference, DRIFTED), [F.to_date("sale_date").alias("day")])
+    series = {
+        "latency_p95": latency.select(end.alias("ts"), near("quantile", 8).alias("value")),
+        "error_rate": alerts.error_ratio(log).select(F.col("window_end").alias("ts"), F.col("error_ratio").alias("value")),
+        "mae": daily.agg(F.avg(F.abs(F.col("prediction") - F.col("actual"))).alias("value")),
+        "drift_score": drift.groupBy(F.col("day").alias("ts")).agg(F.max("drift_score").alias("value")),
+    }
+    rows = [
+        df.select(F.lit(m).alias("metric"), F.col("ts").cast("timestamp_ntz").alias("ts"), "value") for m, df in series.items()
+    ]
+    return alerts.alert_table(reduce(DataFrame.unionByName, rows), BOARD_RULES)
+
+
 @query(
     "d11_threshold_board",
     f"""WITH {REQUESTS}, m AS (

@@ -31,21 +31,36 @@ def ingest_jdbc(
     table: str,
     split_column: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int = 16,
     properties: dict[str, str] | None = None,
+    single_task: bool = False,
 ) -> DataFrame:
-    """Database table, read by several tasks over ranges of `split_column`."""
-    if split_column and bounds:
-        return spark.read.jdbc(
-            url,
-            table,
-            column=split_column,
-            lowerBound=bounds[0],
-            upperBound=bounds[1],
-            numPartitions=partitions,
-            properties=properties,
-        )
-    return spark.read.jdbc(url, table, properties=properties)
+    """Database table, read by several tasks over ranges of `split_column`.
+
+    Bounds that are not given are asked from the database. A read without a split column is one task's
+    work whatever the table's size, so it has to be asked for."""
+    if split_column is None:
+        if not single_task:
+            raise ValueError("name a split column, or set single_task for a small table")
+        return spark.read.jdbc(url, table, properties=properties)
+    if bounds is None:
+        span = f"SELECT min({split_column}) AS low, max({split_column}) AS high FROM {table}"
+        low, high = ingest_jdbc_query(spark, url, span, properties).first()
+        bounds = (low or 0, high or 0)
+    return spark.read.jdbc(
+        url,
+        table,
+        column=split_column,
+        lowerBound=bounds[0],
+        upperBound=bounds[1],
+        numPartitions=partitions,
+        properties=properties,
+    )
+
+
+def ingest_jdbc_query(spark: SparkSession, url: str, sql: str, properties: dict[str, str] | None = None) -> DataFrame:
+    """Result of a query that the database runs; for results that one task can read."""
+    return spark.read.format("jdbc").options(url=url, query=sql, **(properties or {})).load()
 
 
 def ingest_query(spark: SparkSession, sql: str, args: dict[str, object] | None = None, **frames: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parcelwise.operators.admission import admissions, admit, known_end
+from parcelwise.operators.cleaning import impute_by_group, trim_upper
+from parcelwise.operators.encoding import fit_robust_scale
 from parcelwise.operators.joins import FeatureView, point_in_time, reuse_or_score
 from parcelwise.operators.ordering import day_number, last_known, rank_within, rolling_rows, running_sum
 from parcelwise.operators.quantiles import quantiles
@@ -224,3 +226,29 @@ def test_feature_job_split(spark):
         return rows_of(df.select("l_orderkey", "property_id", *[F.round(m, 6).alias(m) for m in means], "price_rank_zipcode"))
 
     assert rounded(feature_job(rows, order, 100)) == rounded(feature_job(rows, order))
+
+
+def test_quantile_operators_read_their_source_once_or_twice(spark):
+    """Counted by a source that adds one each time it is run."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    rows = [(i, f"z{i % 3}", None if i % 7 == 0 else float(i * 37 % 101), float(i % 13)) for i in range(600)]
+    plain = spark.createDataFrame(rows, "id INT, zipcode STRING, square_feet DOUBLE, price DOUBLE").coalesce(1)
+    source = plain.mapInArrow(counted, plain.schema)
+
+    def times(build):
+        before = reads.value
+        found = build(source).collect()
+        return reads.value - before, found
+
+    for bound in (LARGE, 50):
+        imputed, found = times(lambda df: impute_by_group(df, ["zipcode"], ["square_feet", "price"], {}, bound))
+        assert imputed == 2 and len(found) == 600 and all(r["square_feet"] is not None for r in found)
+        trimmed, found = times(lambda df: trim_upper(df, ["square_feet", "price"], 0.9, bound))
+        assert trimmed == 2 and 0 < len(found) < 600
+        scaled, _ = times(lambda df: fit_robust_scale(df, ["square_feet", "price"], bound).apply(df))
+        assert scaled == 2

@@ -388,6 +388,30 @@ def test_firing_needs_an_unbroken_stretch(spark):
     assert [(r["since"], r["seconds"]) for r in found] == [(DAY, 120)]
 
 
+def test_rules_fire_by_their_own_durations(spark):
+    rules = [
+        alerts.AlertRule("Slow", "latency", "above", 0.5, 180, "warning"),
+        alerts.AlertRule("VerySlow", "latency", "above", 0.9, 60, "critical"),
+        alerts.AlertRule("Down", "loaded", "below", 1.0, 86_400, "critical", 86_400),
+    ]
+    values = [0.6, 0.7, 0.95, 0.99, None, 0.6, 0.6, float("nan"), 0.6]
+    rows = [("latency", DAY + timedelta(minutes=i), v) for i, v in enumerate(values)]
+    rows += [("loaded", DAY + timedelta(days=i), v) for i, v in enumerate([0.0, 0.0, 1.0, 0.0])] + [("other", DAY, 9.0)]
+    series = spark.createDataFrame(rows, "metric STRING, ts TIMESTAMP_NTZ, value DOUBLE")
+    found = {(r["rule"], r["since"], r["seconds"], r["severity"]) for r in alerts.alert_table(series, rules).collect()}
+    assert found == {
+        ("Slow", DAY, 180, "warning"),
+        ("VerySlow", DAY + timedelta(minutes=2), 60, "critical"),
+        ("Down", DAY, 86_400, "critical"),
+    }
+    assert alerts.alert_table(series.limit(0)).count() == 0
+
+
+def test_a_database_table_is_not_read_by_one_task_unasked(spark):
+    with pytest.raises(ValueError, match="split column"):
+        tables.ingest_jdbc(spark, "jdbc:unused:", "t")
+
+
 def test_composite_operators(spark):
     df = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "k STRING, triggered BOOLEAN")
     for operator, expected in (("AND", {"a": False, "b": True}), ("OR", {"a": True, "b": True}), ("NOT", {"a": False, "b": False})):
