@@ -21,6 +21,7 @@ Columns of the input other than id and text are not carried.
 
 from __future__ import annotations
 
+import re
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -46,6 +47,13 @@ CACHED_WORDS = 150_000
 PIECE = "array<struct<piece:int,start:long,length:long,ids:binary>>"
 
 
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+"""Words of these letters are composed already, have simple lower-case forms and are not split by the tokenizer."""
+
+STOPPED = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ0-9])([!#$%&()*,./:;=?@^_~-]+)", re.DOTALL)
+"""Marks behind a letter or digit are a piece of their own in the tokenizer. Quotes and the signs of special tokens are left out."""
+
+
 class WordIds(dict):
     """Ids of each word as little-endian unsigned 32-bit integers, encoded once while it is in use.
 
@@ -55,16 +63,24 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer, self.merges, self.size = tokenizer, tokenizer.model, size
         self.old: dict[bytes, bytes] = {}
+        marked = {c: tokenizer.pre_tokenizer.pre_tokenize_str(c) for c in map(chr, range(0xDF, 0x100)) if LATIN.match(c)}
+        self.byte_names = {ord(c): found[0][0] for c, found in marked.items()}
 
     def encoded(self, word: bytes) -> bytes:
-        """Ids of a new word. ASCII capitals are lower-cased by the tokenizer, ASCII letters go to its
-        merges as they are, and a full stop or comma after a letter or digit stands alone there."""
-        if word.isascii():
-            if word.isalpha():
-                return array("I", [t.id for t in self.merges.tokenize(word.decode().lower())]).tobytes()
-            if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
-                return self[word[:-1]] + self[word[-1:]]
-        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        """Ids of a new word. Latin words are lower-cased and go to the merges in the names that the tokenizer
+        gives to bytes; all others, among them those that hold a special token, go through the whole tokenizer."""
+        if word.isalpha():
+            return array("I", [t.id for t in self.merges.tokenize(word.lower().decode())]).tobytes()
+        if word[-1:] in (b".", b",") and word[-2:-1].isalnum():
+            return self[word[:-1]] + self[word[-1:]]
+        text = word.decode()
+        if LATIN.fullmatch(text):
+            text = text.lower().translate(self.byte_names)
+            return array("I", [t.id for t in self.merges.tokenize(text)]).tobytes()
+        parts = STOPPED.fullmatch(text)
+        if parts:
+            return self[parts[1].encode()] + self[parts[2].encode()]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
@@ -82,12 +98,11 @@ def word_encoder(tokenizer_path: str):
     """A function of a text's bytes that gives its ids as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space before it merges and no rule of it looks across white space, so
-    the ids of a text are those of its words in turn, and words repeat."""
+    the ids of a text are those of its words in turn, and words repeat. Special tokens hold no white
+    space; where one stands in a word, the tokenizer splits the word there."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
-    known = WordIds(tokenizer)
+    known = WordIds(Tokenizer.from_file(tokenizer_path))
     return lambda text: b"".join(map(known.__getitem__, text.split()))
 
 

@@ -4,12 +4,15 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from parcelwise.llm import packing
 from parcelwise.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+PLAIN = Tokenizer.from_file(PATH)
 
 
 def check_packed(rows, capacity=4096):
@@ -28,7 +31,6 @@ def check_packed(rows, capacity=4096):
 
 def test_query(spark):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     folder = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = QUERIES["op4_grouped_packing"](spark, folder).collect()
@@ -50,12 +52,28 @@ def test_query(spark):
     assert used <= 1.03 * -(-total // 4096) + 2, (used, total / 4096)
 
 
+def ids_of(text):
+    return np.frombuffer(packing.word_encoder(PATH)(text.encode()), "<u4").tolist()
+
+
 def test_words_give_the_ids_of_the_text():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    text = "It's  ÁprÈs 'ReΣΣ 3.14 x y\n\nİ ́a <|endoftext|> Word. WORD, x., 3. 's. H\u0331. don't !!?? ẛ̣ \x1fz"
-    ids = np.frombuffer(packing.word_encoder(PATH)(text.encode()), "<u4").tolist()
-    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    for text in (
+        "It's  ÁprÈs 'ReΣΣ 3.14 x y\n\nİ ́a <|endoftext|> Word. WORD, x., 3. 's. H\u0331. don't !!?? ẛ̣ \x1fz",
+        "hello <|startoftext|> world",
+        "a<|startoftext|>B <|endoftext|>. <|endoftext|>é, <|endoftext|><|startoftext|> <|endoftext |> <|ENDOFTEXT|>",
+        "ÀÖØÞßàöøÿ ×÷ Straße, ÉTÉ. çà; e\u0301. n'est l'été. 1.5, 2!: a.b. µ. ªº Ω. ĲSSEL. ﬁn.",
+        "\u00a0x\u2003y\u3000z\x85w\x1cv",
+    ):
+        assert ids_of(text) == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert ids_of("hello <|startoftext|> world") == [3306, 49406, 1002]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(" \n.,;:!?'-09azAZéÉßÿ×İΣς\u0301\u0308あ<|>"), max_size=24), st.sampled_from(["", "<|endoftext|>"]))
+def test_any_text_gives_the_ids_of_the_tokenizer(text, special):
+    text = text[:7] + special + text[7:]
+    assert ids_of(text) == PLAIN.encode(text, add_special_tokens=False).ids
 
 
 def test_odd_rows(spark):
