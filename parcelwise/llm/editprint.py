@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.pandas.types import to_arrow_type
 
 from parcelwise.llm.sharding import HALF, _key, _parts, keys_up_to, splitters
+from parcelwise.llm.tables import compressed, unpacker
 from parcelwise.scale import written
 
 BINS, CLASSES, PERIOD = 256, 256, 4096
@@ -39,7 +40,11 @@ SEED = 20240601
 BLOCK_BYTES = 16 * 1024**2
 """Text in one block of neighbouring ids."""
 
-WALKED_AT_ONCE = 1 << 22
+MAX_BLOCKS = 50_000
+"""Blocks of which the driver holds the borders; blocks grow beyond, as they are read as a stream."""
+
+ROWS_AT_ONCE = 1000
+WALKED_AT_ONCE = 1 << 21
 """Characters of the texts that walk in step."""
 
 BANDS, BAND_BINS = 24, 8
@@ -139,22 +144,22 @@ def likeness(a: Column, b: Column) -> Column:
     return like(a, b)
 
 
-def with_next(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
-) -> tuple[DataFrame, Window]:
-    """Blocks of neighbouring ids, each followed by the row that comes after it, and their order.
+def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, copy, h, i, doc_id, frame): blocks of neighbouring ids, each with the row that comes after it.
 
-    Rows with `__copy` are there only to be somebody's next. Blocks are cut by exact byte counts, so
-    the whole order is never in one task."""
-    keyed = docs.withColumns(
-        {
-            "__h": F.coalesce(F.col(doc_id).cast("long"), F.lit(-HALF)),
-            "__i": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-        }
+    Sorted by block, copy, falling h and falling i, every row is followed by its next one. Rows with `copy`
+    are there only to be somebody's next. Blocks are cut by exact byte counts, so the whole order is
+    never in one task; there are at most `MAX_BLOCKS`. `frame` is the compressed text."""
+    keyed = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(text).alias("text"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(-HALF)).alias("h"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("i"),
     )
-    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
-    slim = written(keyed.select(F.col("__h").alias("h"), F.col("__i").alias("i"), size.alias("size")), "order-keys")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
+    slim = written(keyed.select("h", "i", size.alias("size")), "order-keys")
     total = slim.agg(F.sum("size")).first()[0] or 0
+    block_bytes = max(block_bytes, -(-total // MAX_BLOCKS))
     cuts = splitters(slim, max(1, -(-total // (4 * block_bytes))), tolerance=0.1, block_bytes=4 * block_bytes)
     ph, pi = _parts([c[0] for c in cuts])
 
@@ -182,40 +187,59 @@ def with_next(
             pa.list_(pa.int32()),
         )
 
-    rows = keyed.select("*", F.posexplode(blocks_of("__h", "__i")).alias("__copy", "__block"))
-    return rows, Window.partitionBy("__block").orderBy("__copy", F.desc("__h"), F.desc("__i"))
+    framed = keyed.select("doc_id", "h", "i", compressed(F.col("text")).alias("frame"), blocks_of("h", "i").alias("to"))
+    return framed.select(F.posexplode("to").alias("copy", "block"), "h", "i", "doc_id", "frame")
+
+
+PAIRS = (
+    "doc_id {0}, n_chars long, edited string, fingerprint string, edited_fingerprint string,"
+    " near_edited double, near_next double"
+)
 
 
 def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_chars, edited, both fingerprints and their likeness, and that to the next document.
 
-    The edited text has its last third replaced by the beginning of the next one by falling id."""
-    rows, order = with_next(docs.select(F.col(doc_id), F.col(text)), doc_id, text, block_bytes)
-    own = F.coalesce(F.col(text), F.lit(""))
-    n = F.length(own)
-    third = F.floor(n / 3).cast("int")
-    following = F.coalesce(F.lead(own).over(order), F.lit(""))
-    paired = rows.select(
-        "__block",
-        "__copy",
-        "__h",
-        "__i",
-        F.col(doc_id).alias("doc_id"),
-        own.alias("text"),
-        n.cast("long").alias("n_chars"),
-        F.concat(F.substring(own, F.lit(1), n - third), F.substring(following, F.lit(1), third)).alias("edited"),
-    )
-    printed = paired.withColumns({"fingerprint": fingerprint(F.col("text")), "edited_fingerprint": fingerprint(F.col("edited"))})
-    compared = printed.withColumn("__next", F.lead("fingerprint").over(order)).where("__copy = 0")
-    return compared.select(
-        "doc_id",
-        "n_chars",
-        "edited",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.coalesce("__next", "fingerprint")).alias("near_next"),
-    )
+    The edited text has its last third replaced by the beginning of the next one by falling id. Texts are
+    exchanged once, compressed, and read as a stream in which each row is followed by its next one."""
+    rows = with_next(docs, doc_id, text, block_bytes)
+    kind = to_arrow_type(rows.schema["doc_id"].dataType)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = unpacker()
+        last: list[tuple] = []
+
+        def paired(own: list[tuple], following: list[tuple]) -> pa.RecordBatch:
+            """Rows (block, copy, id, text, print) with those after them, the same row where none of its block is."""
+            found = [(a, b if a[0] == b[0] else a) for a, b in zip(own, following, strict=True) if not a[1]]
+            thirds = [len(a[3]) // 3 for a, _ in found]
+            edited = [a[3][: len(a[3]) - n] + b[3][:n] for (a, b), n in zip(found, thirds, strict=True)]
+            prints = _hex(embedded(edited)) if edited else []
+            fp, after = [a[4] for a, _ in found], [b[4] for _, b in found]
+            near = [likeness_of(signs_of(fp), signs_of(o)) if fp else [] for o in (prints, after)]
+            columns = [
+                pa.array([a[2] for a, _ in found], kind),
+                pa.array([len(a[3]) for a, _ in found], pa.int64()),
+                *(pa.array(c, pa.string()) for c in (edited, fp, prints)),
+                *(pa.array(c, pa.float64()) for c in near),
+            ]
+            names = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        for whole in batches:
+            for low in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(low, ROWS_AT_ONCE)
+                texts = [unpack(f.as_py()).decode() for f in batch.column("frame")]
+                columns = (batch.column(c).to_pylist() for c in ("block", "copy", "doc_id"))
+                held = last + list(zip(*columns, texts, _hex(embedded(texts)), strict=True))
+                last = held[-1:]
+                if len(held) > 1:
+                    yield paired(held[:-1], held[1:])
+        if last:
+            yield paired(last, last)
+
+    ordered = rows.repartition("block").sortWithinPartitions("block", "copy", F.desc("h"), F.desc("i"))
+    return ordered.mapInArrow(pair, PAIRS.format(rows.schema["doc_id"].dataType.simpleString()))
 
 
 def bands(prints: DataFrame) -> DataFrame:
