@@ -35,7 +35,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,39 +45,34 @@ from pyspark.sql import functions as F
 
 from parcelwise.scale import written
 
-RUNS = re.compile("[A-Za-zÀ-ÿ]+")
+# Lower-cased runs in UTF-8, where U+00C0 to U+00FF are the byte C3 and another.
+PLAIN_RUNS = re.compile(rb"[a-z]+")
+RUNS = re.compile(rb"(?:[a-z]+|(?:\xc3[\x80-\xbf])+)+")
 DAMAGE = 97
 SHORTEST, LEAST_COUNT = 5, 3
-SHORTEST_GRAM, LONGEST_GRAM = 2, 8
+SHORTEST_GRAM, LONGEST_GRAM = 2, 6
 FIRST, LAST = "\x02", "\x03"
 """Edge marks, which no word holds."""
 
 LEAST_FREQUENT = 40
-MAX_FREQUENT = 100_000
+MAX_FREQUENT = 500_000
 KEPT_COUNTS = 500_000
 """Distinct words or grams a task counts before it passes them on."""
 
 
-def _counts(counts: Counter, keys: list[str]) -> pa.RecordBatch:
-    """The counter's keys, a single value or tuples, and its counts `n`."""
-    columns = [list(counts)] if len(keys) == 1 else list(zip(*counts, strict=True)) or [[] for _ in keys]
-    kinds = {"word": pa.string(), "gram": pa.string(), "cls": pa.int32()}
-    arrays = [pa.array(c, kinds[k]) for c, k in zip(columns, keys, strict=True)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(list(counts.values()), pa.int64())], [*keys, "n"])
-
-
-def damaged_runs(text: bytes, name: str) -> Iterator[tuple[str, int]]:
+def damaged_runs(text: bytes, name: str) -> Iterator[tuple[bytes, int]]:
     """Letter runs of a text with their counts, A-Z lower-cased and one code point deleted where the checksum says so."""
     start = zlib.crc32(f"{name}:".encode())
-    for run, n in Counter(RUNS.findall(text.lower().decode())).items():
+    found = (PLAIN_RUNS if text.isascii() else RUNS).findall(text.lower())
+    for run, n in Counter(found).items():
         if len(run) >= SHORTEST:
-            check = zlib.crc32(run.encode(), start)
+            check = zlib.crc32(run, start)
             if check % DAMAGE == 0:
-                at = check % len(run)
-                run = run[:at] + run[at + 1 :]
-                if len(run) < SHORTEST:
-                    continue
-            yield run, n
+                points = run.decode()
+                at = check % len(points)
+                run = (points[:at] + points[at + 1 :]).encode()
+            if len(run) >= 2 * SHORTEST or len(run.decode()) >= SHORTEST:
+                yield run, n
 
 
 def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_COUNT) -> DataFrame:
@@ -89,9 +85,13 @@ def word_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
                 for run, n in damaged_runs(value.as_py(), name or ""):
                     found[run] += n
                 if len(found) > KEPT_COUNTS:
-                    yield _counts(found, ["word"])
+                    yield counted(found)
                     found.clear()
-        yield _counts(found, ["word"])
+        yield counted(found)
+
+    def counted(found: Counter) -> pa.RecordBatch:
+        words = pa.array(list(found), pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("string"), F.col(text))
     return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -111,17 +111,22 @@ def frequent_grams(words: DataFrame, least: int = LEAST_FREQUENT, at_most: int =
     """Per class the counts of its frequent grams, `at_most` of them over all classes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: dict[int, Counter] = defaultdict(Counter)
         for batch in batches:
             for word in batch.column(0).to_pylist():
                 marked = FIRST + word + LAST
                 for cls in classes(word):
                     for q in range(SHORTEST_GRAM, longest_gram(cls) + 1):
-                        found.update((cls, marked[p : p + q]) for p in range(len(marked) - q + 1))
-                if len(found) > KEPT_COUNTS:
-                    yield _counts(found, ["cls", "gram"])
-                    found.clear()
-        yield _counts(found, ["cls", "gram"])
+                        found[cls].update([marked[p : p + q] for p in range(len(marked) - q + 1)])
+            if sum(map(len, found.values())) > KEPT_COUNTS:
+                yield from passed(found)
+                found.clear()
+        yield from passed(found)
+
+    def passed(found: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
+        for cls, own in found.items():
+            columns = [pa.array([cls] * len(own), pa.int32()), pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "gram", "n"])
 
     counted = words.select("word").mapInArrow(count, "cls int, gram string, n long")
     counted = written(counted.groupBy("cls", "gram").agg(F.sum("n").alias("n")).where(F.col("n") > least), "grams")
@@ -152,37 +157,42 @@ def decompose(marked: str, frequent: dict[str, int], longest: int) -> list[tuple
 
 
 def affected(marked: str, grams: list[tuple[int, str]], frequent: dict[str, int], ends: set[str], longest: int) -> int:
-    """The most grams that one edit inside the marks may change."""
-    most = 0
-    for left in range(1, len(marked)):
-        # Kept are marked[:left] and marked[right:]: a code point comes in between them or at `left` goes.
-        reach = next(
-            (j for j in range(max(0, left - longest + 1), left) if left - j < SHORTEST_GRAM or marked[j:left] in frequent),
-            left,
-        )
-        for right in (left, left + 1) if left < len(marked) - 1 else (left,):
-            cover = right
-            for e in range(right + 1, min(len(marked), right + longest - 1) + 1):
-                if e - right < SHORTEST_GRAM or marked[right : e - 1] in ends:
-                    cover = e
-            n = 0
-            for p, g in grams:
-                end = p + len(g)
-                if end <= left:
-                    n += p >= reach
-                elif p >= right:
-                    n += end <= cover
-                else:
-                    n += 1
-            most = max(most, n)
-    return most
-
-
-POSTING = "key string, word string, longer boolean"
+    """The most grams that one edit inside the marks may change.
+
+    Grams are in order of both their starts and their ends, so those that stay are some first and some last ones."""
+    starts = [p for p, _ in grams]
+    stops = [p + len(g) for p, g in grams]
+    size = len(marked)
+    after = [0] * (size + 1)
+    for right in range(1, size):
+        # What is kept begins at `right`; a gram that comes from before it may cover all up to `cover`.
+        cover = right
+        for e in range(min(size, right + longest - 1), right, -1):
+            if e - right < SHORTEST_GRAM or marked[right : e - 1] in ends:
+                cover = e
+                break
+        after[right] = len(grams) - max(bisect_left(starts, right), bisect_right(stops, cover))
+    least = len(grams)
+    for left in range(1, size):
+        # Kept are marked[:left] and what begins at `left` (an insertion) or one further (the code point there goes).
+        reach = left
+        for j in range(max(0, left - longest + 1), left):
+            if left - j < SHORTEST_GRAM or marked[j:left] in frequent:
+                reach = j
+                break
+        before = min(bisect_right(stops, left), bisect_left(starts, reach))
+        least = min(least, before + after[left])
+        if left < size - 1:
+            least = min(least, before + after[left + 1])
+    return len(grams) - least
+
+
+POSTING = "key string, word string, longer boolean, letters long"
 
 
 def postings(words: DataFrame, frequent: dict[int, dict[str, int]]) -> DataFrame:
-    """(key, word, longer): the lists that each word goes into; `longer` if it is one of the class's longer words."""
+    """(key, word, longer, letters): the lists that each word goes into; `longer` if it is one of the class's longer
+    words, `letters` a bit for each letter (or for some) that it has."""
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +202,9 @@ def postings(words: DataFrame, frequent: dict[int, dict[str, int]]) -> DataFrame
             for low in range(0, batch.num_rows, 5000):
                 out = []
                 for word in batch.column(0)[low : low + 5000].to_pylist():
-                    marked = FIRST + word + LAST
+                    marked, letters = FIRST + word + LAST, 0
+                    for c in word:
+                        letters |= 1 << (ord(c) % 63)
                     for cls in classes(word):
                         own, longest = tables.get(cls, {}), longest_gram(cls)
                         grams = decompose(marked, own, longest)
@@ -200,12 +212,12 @@ def postings(words: DataFrame, frequent: dict[int, dict[str, int]]) -> DataFrame
                         rarest = sorted(grams, key=lambda g: (own.get(g[1], 0), g[1], g[0]))[:lists]
                         longer = len(word) > cls
                         for p, g in rarest:
-                            out.append((f"{cls}<{p}{g}", word, longer))
-                            out.append((f"{cls}>{len(marked) - p}{g}", word, longer))
-                columns = list(zip(*out, strict=True)) or [(), (), ()]
-                kinds = (pa.string(), pa.string(), pa.bool_())
+                            out.append((f"{cls}<{p}{g}", word, longer, letters))
+                            out.append((f"{cls}>{len(marked) - p}{g}", word, longer, letters))
+                columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+                kinds = (pa.string(), pa.string(), pa.bool_(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "word", "longer"]
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "word", "longer", "letters"]
                 )
 
     return words.select("word").mapInArrow(emit, POSTING)
@@ -214,11 +226,13 @@ def postings(words: DataFrame, frequent: dict[int, dict[str, int]]) -> DataFrame
 def near_words(words: DataFrame, least: int = LEAST_FREQUENT, at_most: int = MAX_FREQUENT) -> DataFrame:
     """(a, b): all pairs of near words of `words` (word, distinct), each once in one direction."""
     lists = written(postings(words, frequent_grams(words, least, at_most)), "gram-lists")
-    short = lists.where("not longer").select("key", F.col("word").alias("a"))
-    other = lists.select("key", F.col("word").alias("b"), "longer")
+    short = lists.where("not longer").select("key", F.col("word").alias("a"), F.col("letters").alias("x"))
+    other = lists.select("key", F.col("word").alias("b"), "longer", F.col("letters").alias("y"))
     # Words of equal length are in step from either end, so their lists from the start are enough.
     wanted = F.col("longer") | ((F.col("a") < F.col("b")) & F.col("key").rlike("^[0-9]+<"))
-    met = short.join(other, "key").where(wanted & (F.levenshtein("a", "b", 1) == 1))
+    # One edit takes at most one letter out and brings one in; this is cheap and leaves few pairs to be verified.
+    alike = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= 2
+    met = short.join(other, "key").where(wanted & alike & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "b").distinct()
 
 
