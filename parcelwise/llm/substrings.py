@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelwise.llm.tables import stored, text_bytes
+from parcelwise.llm.tables import compressed, packer, stored, text_bytes, uncompressed, unpacker
 from parcelwise.scale import written
 
 WINDOW, PHRASE = 50, 20
@@ -49,8 +49,8 @@ LETTER_BITS = 6
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 """Odd bases of the two rolling hashes."""
 
-FOUND = "chunk long, doc_id long, n_words long, n_removed long, text string, done boolean, w1 long, w2 long"
-CUT = "doc_id long, n_words long, n_removed long, kept string"
+FOUND = "chunk long, doc_id long, n_words long, n_removed long, frame binary, done boolean, w1 long, w2 long"
+CUT = "doc_id long, n_words long, n_removed long, frame binary"
 
 
 class WordHashes(dict):
@@ -155,7 +155,7 @@ class Chunk:
 
     def __init__(self, docs: pa.Table, copies: frozenset = frozenset()):
         self.ids = docs.column("doc_id").to_pylist()
-        self.texts = [t or b"" for t in docs.column("text").cast(pa.binary()).to_pylist()]
+        self.texts = list(map(unpacker(), docs.column("frame").to_pylist()))
         self.least: dict[bytes, int] = {}
         for doc_id, text in zip(self.ids, self.texts, strict=True):
             if doc_id is not None and doc_id not in copies:
@@ -220,15 +220,15 @@ def _least_ids(w1: np.ndarray, w2: np.ndarray, ids: np.ndarray) -> tuple[np.ndar
 
 
 def _rows(chunk: int, docs: list[tuple], w1=(), w2=(), w_ids=()) -> pa.Table:
-    """Rows of documents (doc_id, n_words, n_removed, text, done), then rows of windows."""
+    """Rows of documents (doc_id, n_words, n_removed, frame, done), then rows of windows."""
     windows = len(w1)
-    doc_id, n_words, n_removed, text, done = zip(*docs, strict=True)
-    kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "text": pa.string(), "done": pa.bool_()}
+    doc_id, n_words, n_removed, frame, done = zip(*docs, strict=True)
+    kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "frame": pa.binary(), "done": pa.bool_()}
     columns = {
         "chunk": pa.array(np.full(len(docs) + windows, chunk)),
         "doc_id": pa.chunked_array([pa.array(doc_id, pa.int64()), pa.array(w_ids, pa.int64())]),
     }
-    for (name, kind), values in zip(kinds.items(), (n_words, n_removed, text, done), strict=True):
+    for (name, kind), values in zip(kinds.items(), (n_words, n_removed, frame, done), strict=True):
         columns[name] = pa.chunked_array([pa.array(values, kind), pa.nulls(windows, kind)])
     for name, values in (("w1", w1), ("w2", w2)):
         columns[name] = pa.chunked_array([pa.nulls(len(docs), pa.int64()), pa.array(values, pa.int64())])
@@ -264,20 +264,31 @@ def _find(window: int, phrase: int):
             w1, w2, ids = (np.concatenate(c) for c in (w1, w2, ids))
             order, first, _ = _least_ids(w1, w2, ids)
             w1, w2, ids = (c[order][first] for c in (w1.view(np.int64), w2.view(np.int64), ids))
-        rows = []
+        rows, pack = [], packer()
         for doc_id, text in zip(chunk.ids, chunk.texts, strict=True):
             n = counts[text]
             if doc_id in copies and n >= window:
-                rows.append((doc_id, n, n, "", True))
+                rows.append((doc_id, n, n, pack(b""), True))
             elif doc_id is not None and doc_id not in copies and text in found:
-                rows.append((doc_id, n, 0, text.decode(), False))
+                rows.append((doc_id, n, 0, pack(text), False))
             else:
-                rows.append((doc_id, n, 0, b" ".join(text.split()).decode(), True))
+                rows.append((doc_id, n, 0, pack(b" ".join(text.split())), True))
         return _rows(key[0].as_py(), rows, w1, w2, ids)
 
     return find
 
 
+def _among(w1: np.ndarray, w2: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the windows (w1, w2) are among the sorted ones (a, b)."""
+    if not len(a):
+        return np.zeros(len(w1), bool)
+    low, high = np.searchsorted(a, w1, "left"), np.searchsorted(a, w1, "right")
+    hit = (low < high) & (b[np.minimum(low, len(a) - 1)] == w2)
+    for at in np.flatnonzero((high - low > 1) & ~hit).tolist():
+        hit[at] = bool((b[low[at] : high[at]] == w2[at]).any())
+    return hit
+
+
 def _cut(window: int):
     def cut(key: tuple, docs: pa.Table, taken: pa.Table) -> pa.Table:
         chunk = Chunk(docs)
@@ -294,16 +305,10 @@ def _cut(window: int):
         later = np.zeros(len(ids), bool)
         if len(order):
             later[order] = ids[order] > ids[order][begin][group]
-            asked = np.empty(taken.num_rows, [("a", np.uint64), ("b", np.uint64)])
-            asked["a"], asked["b"] = (taken.column(c).to_numpy().view(np.uint64) for c in ("w1", "w2"))
-            own = np.empty(len(ids), asked.dtype)
-            own["a"], own["b"] = w1, w2
             # Windows taken by other chunks are looked up by their first half, then compared whole.
-            asked = np.sort(asked, order=["a", "b"])
-            near = np.isin(own["a"], asked["a"])
-            pairs = set(asked.tolist())
-            hit = np.fromiter((p in pairs for p in own[near].tolist()), bool, int(near.sum()))
-            later[np.flatnonzero(near)[hit]] = True
+            a, b = (taken.column(c).to_numpy().view(np.uint64) for c in ("w1", "w2"))
+            sorted_rows = np.lexsort((b, a))
+            later |= _among(w1, w2, a[sorted_rows], b[sorted_rows])
         kept, at = {}, 0
         for text, own_words, size in zip(texts, words, sizes, strict=True):
             mark = np.zeros(len(own_words) + 1, np.int64)
@@ -313,14 +318,14 @@ def _cut(window: int):
             np.add.at(mark, starts + window, -1)
             stays = np.cumsum(mark[:-1]) == 0
             kept[text] = (len(own_words), int((~stays).sum()), b" ".join(compress(own_words, stays.tolist())))
-        rows = []
+        rows, pack = [], packer()
         for doc_id, text in zip(chunk.ids, chunk.texts, strict=True):
             n, removed, left = kept[text]
-            rows.append((doc_id, n, removed, left.decode()))
+            rows.append((doc_id, n, removed, pack(left)))
         columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         return pa.table(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_words", "n_removed", "kept"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_words", "n_removed", "frame"]
         )
 
     return cut
@@ -353,12 +358,13 @@ def remove_repeats(
     notes = recurring.select("chunk", "h", F.lit(None).cast("long").alias("doc_id")).union(
         copies.select("chunk", F.lit(None).cast("long"), "doc_id")
     )
-    rows = dealt.select("chunk", "doc_id", "text")
+    rows = dealt.select("chunk", "doc_id", compressed(F.col("text")).alias("frame"))
     found = rows.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(_find(window, phrase), FOUND)
     found = stored(found, "occurrences")
     windows = found.where("w1 is not null").select("chunk", "w1", "w2", "doc_id")
     smallest = F.min("doc_id").over(Window.partitionBy("w1", "w2"))
     taken = windows.withColumn("least", smallest).where("least < doc_id").select("chunk", "w1", "w2")
-    held = found.where("done = false").select("chunk", "doc_id", "text")
+    held = found.where("done = false").select("chunk", "doc_id", "frame")
     cut = held.groupBy("chunk").cogroup(taken.groupBy("chunk")).applyInArrow(_cut(window), CUT)
-    return cut.union(found.where("done = true").select("doc_id", "n_words", "n_removed", "text"))
+    everything = cut.union(found.where("done = true").select("doc_id", "n_words", "n_removed", "frame"))
+    return everything.select("doc_id", "n_words", "n_removed", uncompressed(F.col("frame")).alias("kept"))

@@ -80,3 +80,13 @@ def test_rolled_and_sampled():
     assert all(any(at <= t < at + 31 for t in taken) for at in range(len(words) - 30))
     expected = {t for at in range(170) for t in range(at, at + 31) if words[t] == words[at : at + 31].min()}
     assert set(taken.tolist()) == expected
+
+
+def test_windows_are_looked_up_by_both_halves():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 6, (2, 40)).astype(np.uint64)
+    w1, w2 = rng.integers(0, 8, (2, 500)).astype(np.uint64)
+    order = np.lexsort((b, a))
+    taken = set(zip(a.tolist(), b.tolist()))
+    assert substrings._among(w1, w2, a[order], b[order]).tolist() == [p in taken for p in zip(w1.tolist(), w2.tolist())]
+    assert not substrings._among(w1, w2, a[:0], b[:0]).any()
