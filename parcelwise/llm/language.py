@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwise.llm.tables import CHUNK_BYTES, stored_chunks
+from parcelwise.llm.tables import CHUNK_BYTES, compressed, stored_chunks, uncompressed, unpacker
 from parcelwise.scale import written
 
 LETTERS = regex.compile(r"\p{L}+")
@@ -272,18 +272,29 @@ def judged(docs: DataFrame, tables: Tables, text: str = "text", chunk_bytes: int
     scores = written(word_scores(words.select("word").distinct(), tables), "word-scores")
     back = words.join(scores, "word")
     languages = tables.languages
+    # Texts go to their chunk compressed; the other columns go beside them.
+    moved = copy.select(
+        "chunk",
+        F.col("row").withField("__none", F.col(f"row.`{text}`").isNull()).dropFields(text).alias("rest"),
+        compressed(F.col(f"row.`{text}`")).alias("frame"),
+    )
 
     def judge(own: pa.Table, known: pa.Table) -> pa.Table:
         logs = known.column("logs").combine_chunks()
         logs = np.asarray(logs.flatten()).reshape(len(known), len(languages))
         none = np.zeros((0, len(languages)), np.float32)
         scorer = Scorer(Model(languages, known.column("word"), logs, pa.array([], pa.string()), none))
-        found = [scorer.best(t.as_py()) for part in own.column("row").chunks for t in part.field(text)]
+        unpack = unpacker()
+        found = [scorer.best(unpack(f.as_py()).decode()) for f in own.column("frame")]
         columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-        return pa.table([own.column("row"), *columns], ["row", "lang_pred", "score"])
-
-    schema = T.StructType([copy.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return copy.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(judge, schema)
+        return pa.table([own.column("rest"), own.column("frame"), *columns], ["rest", "frame", "lang_pred", "score"])
+
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([moved.schema["rest"], moved.schema["frame"], *fields])
+    judged_rows = moved.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(judge, schema)
+    whole = F.when(~F.col("rest.__none"), uncompressed(F.col("frame")))
+    columns = [whole.alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+    return judged_rows.select(F.struct(*columns).alias("row"), "lang_pred", "score")
 
 
 class Scorer(dict):

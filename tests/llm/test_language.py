@@ -83,3 +83,20 @@ def test_tables_back_off_like_the_model(spark):
     nothing = language.count_tables(training.limit(0))
     assert {(r.lang_pred, r.score) for r in language.identify(docs, nothing).collect()} == {("und", 0.0)}
     assert language.identify(docs.limit(0), nothing).count() == 0
+
+
+def test_tables_with_long_repeated_and_clashing_rows(spark):
+    training = spark.createDataFrame([("fr", "le la les"), ("en", "the a of")], "lang string, text string")
+    own = language.Scorer(language.learn(training))
+    texts = ["le the " * 100_000 + "le", "the of", "the of", None, "", "la"]
+    rows = [(None if i == 5 else i // 2, t, i, "c", f"r{i}", 1.0, b"f", True) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, row int, chunk string, rest string, score double, frame binary, held_out boolean"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    found = language.identify(docs, language.count_tables(training))
+    assert set(found.columns) == {*docs.columns, "lang_pred"}
+    got = {r.row: r for r in found.collect()}
+    assert sorted(got) == list(range(6))
+    for i, text in enumerate(texts):
+        r, (lang, score) = got[i], own.best(text)
+        assert (r.text, r.chunk, r.rest, bytes(r.frame), r.lang_pred) == (text, "c", f"r{i}", b"f", lang)
+        assert abs(r.score - score) < 1e-6
