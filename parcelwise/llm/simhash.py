@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.llm.components import components
+from parcelwise.llm.tables import compressed, uncompressed
 from parcelwise.scale import written
 
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -232,6 +233,10 @@ def one_per_component(docs: DataFrame, assigned: DataFrame, doc_id: str = "doc_i
     kept = assigned.groupBy("root").agg(first).select(
         F.col("first.doc_id").alias("__kept"), F.col("first.mark").alias("__kept_mark")
     )
-    marked = docs.withColumn("__mark", F.xxhash64(F.col(text)))
+    # Texts are exchanged compressed.
+    framed = docs.withColumns(
+        {"__mark": F.xxhash64(F.col(text)), "__none": F.col(text).isNull(), "__frame": compressed(F.col(text))}
+    ).drop(text)
     same = F.col(doc_id).eqNullSafe(F.col("__kept")) & (F.col("__mark") == F.col("__kept_mark"))
-    return marked.join(kept, same, "left_semi").dropDuplicates([doc_id, "__mark"]).drop("__mark")
+    single = framed.join(kept, same, "left_semi").dropDuplicates([doc_id, "__mark"])
+    return single.withColumn(text, F.when(~F.col("__none"), uncompressed(F.col("__frame")))).select(*docs.columns)
