@@ -2,7 +2,14 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a frame that is
 written as Parquet and read again as the next one's `docs`. All but the last keep the columns of
-`documents`. Each stage fits what it fits on its own input."""
+`documents`. Each stage fits what it fits on its own input.
+
+Defined cases, for every stage: an empty table gives no rows; texts of any length are taken whole; columns beside those
+of `documents`, also such that are named like something a stage computes, are kept as they are. A null text or one
+without a letter has no language and goes in the first stage; after it, a null or empty text fails the quality rules.
+Rows with a null id are documents like others: they are judged, compared and packed by their text, and only the
+repeated-phrase stage leaves them uncut. Rows that repeat id and text are one document for the near-duplicate stage,
+which keeps one of them; of ties, the smallest id and then the smallest hash of the text stays."""
 
 from __future__ import annotations
 
@@ -11,7 +18,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.llm import language, quality, simhash, substrings
 from parcelwise.llm.queries import packed_digests
-from parcelwise.llm.tables import documents
+from parcelwise.llm.tables import compressed, documents, uncompressed
 from parcelwise.scale import lookup_side, written
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -48,12 +55,14 @@ def repeated_phrase_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     further = F.shiftrightunsigned(F.xxhash64("doc_id", "__mark"), 2).bitwiseOR(F.lit(1 << 62))
     named = named.withColumn("__row", F.when(F.col("__mark") != F.col("__first"), further).otherwise(F.col("doc_id")))
     cut = written(substrings.remove_repeats(named, "__row").where("n_removed > 0"), "cut-texts")
-    cut = cut.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__row"), F.col("kept").alias("__text"))
-    joined = named.join(cut, "__row", "left")
-    length = F.length("__text").cast(docs.schema["n_chars"].dataType)
-    return joined.withColumns(
-        {"text": F.coalesce("__text", "text"), "n_chars": F.coalesce(length, F.col("n_chars"))}
-    ).select(docs.drop("__mark").columns)
+    cut = cut.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__row"), compressed(F.col("kept")).alias("__cut"))
+    # Texts are exchanged compressed.
+    framed = named.withColumns({"__none": F.col("text").isNull(), "__frame": compressed(F.col("text"))}).drop("text")
+    joined = framed.join(cut, "__row", "left")
+    is_cut, whole = F.col("__cut").isNotNull(), uncompressed(F.coalesce("__cut", "__frame"))
+    joined = joined.withColumn("text", F.when(is_cut | ~F.col("__none"), whole))
+    length = F.when(is_cut, F.length("text").cast(docs.schema["n_chars"].dataType))
+    return joined.withColumn("n_chars", F.coalesce(length, F.col("n_chars"))).select(docs.drop("__mark").columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
