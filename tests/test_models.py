@@ -2,12 +2,14 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from parcelwise.models import explain, scoring
+from parcelwise.models.arrays import on_arrays
 from parcelwise.models.estimators import (
     compare_models,
     evaluate,
@@ -73,6 +75,52 @@ def test_permutation_importance_does_not_depend_on_partitions(rows, model):
     assert {r[0]: round(r[1], 9) for r in a} == {r[0]: round(r[1], 9) for r in b}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def fitted(rows, model):
+    from pyspark.ml.regression import LinearRegression
+
+    line = LinearRegression(featuresCol="features", labelCol="label", solver="normal").fit(rows)
+    boosted = gradient_boosting(maxIter=4, maxDepth=3).fit(rows)
+    return {"forest": model, "boosted": boosted, "tree": model.trees[0], "line": line}
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosted", "tree", "line"])
+def test_models_on_arrays_predict_the_same(spark, rows, fitted, kind):
+    scorer = on_arrays(spark, fitted[kind])
+    found = fitted[kind].transform(rows).select(vector_to_array("features").alias("x"), "prediction").collect()
+    x, expected = np.array([r["x"] for r in found]), np.array([r["prediction"] for r in found])
+    state = scorer.state(x)
+    assert np.allclose(scorer.predictions(state), expected, rtol=1e-12, atol=0)
+    moved, old = x.copy(), x[:, 0].copy()
+    moved[:, 0] = x[::-1, 0]
+    assert np.allclose(scorer.changed(state, moved, 0, old), scorer.state(moved), rtol=1e-12, atol=0)
+    values = np.linspace(0, 997, 200)
+    near = scorer.alike(0, values)
+    for i in range(199):
+        if near[i] == near[i + 1]:
+            moved[:, 0] = values[i]
+            first = scorer.state(moved)
+            moved[:, 0] = values[i + 1]
+            assert (first == scorer.state(moved)).all()
+
+
+@pytest.mark.parametrize("kind", ["forest", "line"])
+def test_partial_dependence_equals_scored_copies_without_copying_rows(rows, fitted, kind):
+    curve = explain.partial_dependence(fitted[kind], rows, NAMES, "age", 7)
+    assert "Generate" not in _plan(curve)
+    found = curve.orderBy("point").collect()
+    assert [r["point"] for r in found] == list(range(7))
+    plain = rows.select(vector_to_array("features").alias("x"))
+    for r in found:
+        changed = plain.select(array_to_vector(F.array(F.col("x")[0], F.lit(r["grid_value"]), F.col("x")[2])).alias("features"))
+        mean = fitted[kind].transform(changed).agg(F.avg("prediction")).first()[0]
+        assert abs(mean - r["mean_prediction"]) < 1e-9
+
+
 def test_partial_dependence_follows_the_signal(rows, model):
     curve = explain.partial_dependence(model, rows, NAMES, "size", 10).orderBy("point").collect()
     assert len(curve) == 10 and curve[-1]["mean_prediction"] > curve[0]["mean_prediction"] + 0.5
