@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,11 +29,6 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).copy()
 
 
-def _scored(model: Model, df: DataFrame, values: str) -> DataFrame:
-    vectors = df.withColumn("features", array_to_vector(values)).drop(values)
-    return model.transform(vectors)
-
-
 def permutation_importance(
     model: Model, df: DataFrame, names: Sequence[str], keys: Sequence[str], label: str = "label", seed: int = 42
 ) -> DataFrame:
@@ -41,25 +36,52 @@ def permutation_importance(
 
     Rows are numbered along a seeded hash and every row takes the feature from the row half the
     frame away, so donors come from one equi-join on the number for all features together."""
-    base = df.select(*keys, label, vector_to_array("features").alias("x")).withColumn(
-        "__h", hash_share(keys, seed)
-    )
+    scorer, d = on_arrays(df.sparkSession, model), len(names)
+    # Only features that the model uses are moved; exchanging others changes no prediction.
+    used = [i for i in range(d) if scorer.uses(i)] or [0]
+    x = vector_to_array("features")
+    base = df.select(*keys, label, F.array(*[x[i] for i in used]).alias("x")).withColumn("__h", hash_share(keys, seed))
     bucket = F.floor(F.col("__h") * HASH_BUCKETS)
-    numbered = written(rank_within(base, [], ["__h", *keys], "__pos", bucket), "numbered")
+    ranked = rank_within(base, [], ["__h", *keys], "__pos", bucket)
+    numbered = written(ranked.select("__pos", label, "x"), "numbered")
     n = df.count()
     donors = numbered.select(
         (F.pmod(F.col("__pos") - 1 + n // 2, F.lit(n)) + 1).alias("__pos"), F.col("x").alias("donor")
     )
     paired = numbered.join(donors, "__pos")
-    indexes = F.sequence(F.lit(-1), F.lit(len(names) - 1))
-    exploded = paired.select(label, "x", "donor", F.explode(indexes).alias("i"))
-    changed = F.transform("x", lambda v, j: F.when(j == F.col("i"), F.col("donor")[j]).otherwise(v))
-    scored = _scored(model, exploded.select(label, "i", changed.alias("values")), "values")
-    mae = written(scored.groupBy("i").agg(F.avg(F.abs(F.col("prediction") - F.col(label))).alias("mae")), "losses")
-    plain = F.max(F.when(F.col("i") == -1, F.col("mae"))).alias("plain")
-    baseline = mae.agg(plain).scalar()
-    return mae.filter(F.col("i") >= 0).select(
-        _names(names, F.col("i")).alias("feature"), (F.col("mae") - baseline).alias("importance")
+
+    def whole(column: pa.ListArray) -> np.ndarray:
+        out = np.zeros((len(column), d))
+        out[:, used] = _matrix(column)
+        return out
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sums of the absolute error, of the rows as they are in the last place.
+        n, total = 0, np.zeros(d + 1)
+        for batch in batches:
+            x, donor = whole(batch.column("x")), whole(batch.column("donor"))
+            actual = batch.column(label).to_numpy(zero_copy_only=False)
+            state = scorer.state(x)
+            plain = np.abs(scorer.predictions(state) - actual).sum()
+            n, total[d] = n + len(x), total[d] + plain
+            for i in range(d):
+                if not scorer.uses(i):
+                    total[i] += plain
+                    continue
+                old = x[:, i].copy()
+                x[:, i] = donor[:, i]
+                total[i] += np.abs(scorer.predictions(scorer.changed(state, x, i, old)) - actual).sum()
+                x[:, i] = old
+        yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([n])], ["total", "n"])
+
+    # One row of sums per task; a feature's rise is taken from the totals.
+    known = paired.where(F.col(label).isNotNull()).select(label, "x", "donor")
+    sums = known.mapInArrow(add, "total array<double>, n long")
+    total = F.array(*[F.sum(F.col("total")[i]) for i in range(d + 1)])
+    added = sums.agg(total.alias("total"), F.sum("n").alias("n"))
+    rises = F.transform(F.slice("total", 1, d), lambda t: (t - F.col("total")[d]) / F.col("n"))
+    return added.select(F.posexplode(rises).alias("i", "importance")).select(
+        _names(names, F.col("i")).alias("feature"), "importance"
     )
 
 
@@ -105,10 +127,6 @@ def background_rows(df: DataFrame, keys: Sequence[str], rows: int = 100, seed: i
     return [list(r["x"]) for r in chosen.orderBy("h").limit(rows).select("x").collect()]
 
 
-def _literal(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def attributions(
     model: Model,
     df: DataFrame,
@@ -122,48 +140,41 @@ def attributions(
 
     Every background row takes part equally: there are as many permutations as background rows, or
     the next multiple of them, and the base value is the mean prediction over all background rows.
-    Each explained row is scored permutations * (features + 1) times.
 
-    A permutation turns a background row into the explained row one feature at a time. Each
-    intermediate row is scored once and counts for the feature just changed and against the next."""
+    A permutation turns a background row into the explained row one feature at a time. Each step counts for the
+    feature just changed. All steps of a row are taken where the row is, so nothing is copied or shuffled."""
     d = len(names)
     draw = random.Random(seed)
     permutations = -(-permutations // len(background)) * len(background)
     orders = [draw.sample(range(d), d) for _ in range(permutations)]
-    draws = F.array(
-        *[
-            F.struct(
-                _literal(order).alias("order"),
-                _literal([order.index(i) for i in range(d)]).alias("place"),
-                _literal(background[m % len(background)]).alias("other"),
+    scorer, others = on_arrays(df.sparkSession, model), np.array(background, float)
+    labels = pa.array([*names, "base_value"])
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column("x"))
+            values = np.zeros((len(x), d + 1))
+            for m, order in enumerate(orders):
+                at = np.repeat(others[m % len(others)][None], len(x), axis=0)
+                state = scorer.state(at)
+                before = scorer.predictions(state)
+                values[:, d] += before
+                for i in filter(scorer.uses, order):
+                    old = at[:, i].copy()
+                    at[:, i] = x[:, i]
+                    state = scorer.changed(state, at, i, old)
+                    after = scorer.predictions(state)
+                    values[:, i] += after - before
+                    before = after
+            row = pa.array(np.repeat(np.arange(len(x)), d + 1))
+            feature = pa.array(np.tile(np.arange(d + 1), len(x)))
+            columns = [batch.column(c).take(row) for c in keys]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, labels.take(feature), pa.array(values.ravel() / permutations)], [*keys, "feature", "value"]
             )
-            for m, order in enumerate(orders)
-        ]
-    )
-    rows = df.select(*keys, vector_to_array("features").alias("x"))
-    steps = rows.select("*", F.explode(draws).alias("draw")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("step")
-    )
-    mixed = F.transform(
-        "x", lambda v, i: F.when(F.col("draw.place")[i] < F.col("step"), v).otherwise(F.col("draw.other")[i])
-    )
-    scored = _scored(model, steps.select(*keys, "step", F.col("draw.order").alias("order"), mixed.alias("values")), "values")
-    gains = F.array_compact(
-        F.array(
-            F.when(
-                F.col("step") > 0,
-                F.struct(F.get("order", F.col("step") - 1).alias("i"), F.col("prediction").alias("v")),
-            ),
-            F.when(
-                F.col("step") < d, F.struct(F.get("order", F.col("step")).alias("i"), (-F.col("prediction")).alias("v"))
-            ),
-            F.when(F.col("step") == 0, F.struct(F.lit(-1).alias("i"), F.col("prediction").alias("v"))),
-        )
-    )
-    sums = scored.select(*keys, F.inline(gains)).groupBy(*keys, "i").agg((F.sum("v") / permutations).alias("value"))
-    return sums.select(
-        *keys, F.when(F.col("i") < 0, "base_value").otherwise(_names(names, F.greatest("i", F.lit(0)))).alias("feature"), "value"
-    )
+
+    schema = df.select(*keys).schema.add("feature", "string").add("value", "double")
+    return df.select(*keys, vector_to_array("features").alias("x")).mapInArrow(explain, schema)
 
 
 def mean_attribution(attributed: DataFrame) -> DataFrame:
@@ -182,21 +193,24 @@ def interaction_strength(
 ) -> DataFrame:
     """Mean second difference of the prediction in two features against background rows."""
     a, b = (list(names).index(f) for f in pair)
-    others = F.array(*[_literal(o) for o in background])
-    corners = F.array(
-        *[
-            F.struct(F.lit(u).alias("u"), F.lit(v).alias("v"), F.lit(1.0 if u == v else -1.0).alias("sign"))
-            for u in (True, False)
-            for v in (True, False)
-        ]
-    )
-    rows = df.select(*keys, vector_to_array("features").alias("x"))
-    spread = rows.select("*", F.explode(others).alias("other")).select("*", F.inline(corners))
-
-    def mixed(v: Column, i: Column) -> Column:
-        swap = ((i == a) & ~F.col("u")) | ((i == b) & ~F.col("v"))
-        return F.when(swap, F.col("other")[i]).otherwise(v)
+    scorer, others = on_arrays(df.sparkSession, model), np.array(background, float)
 
-    scored = _scored(model, spread.select(*keys, "sign", F.transform("x", mixed).alias("values")), "values")
-    total = F.sum(F.col("sign") * F.col("prediction")) / len(background)
-    return scored.groupBy(*keys).agg(total.alias("interaction"))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column("x"))
+            state, old_a, old_b = scorer.state(x), x[:, a].copy(), x[:, b].copy()
+            plain, total = scorer.predictions(state), np.zeros(len(x))
+            for other in others:
+                x[:, a] = other[a]
+                first = scorer.changed(state, x, a, old_a)
+                x[:, b] = other[b]
+                both = scorer.predictions(scorer.changed(first, x, b, old_b))
+                x[:, a] = old_a
+                second = scorer.predictions(scorer.changed(state, x, b, old_b))
+                x[:, b] = old_b
+                total += plain - scorer.predictions(first) - second + both
+            columns = [batch.column(c) for c in keys]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(total / len(others))], [*keys, "interaction"])
+
+    schema = df.select(*keys).schema.add("interaction", "double")
+    return df.select(*keys, vector_to_array("features").alias("x")).mapInArrow(score, schema)

@@ -1,10 +1,12 @@
 """Model operators on a frame with a known signal."""
 
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from parcelwise.models.store import ModelStore, load_features
 from parcelwise.models.training import TrainingSettings, train
 from parcelwise.models.tuning import random_search, sample_params, search_history
 from parcelwise.operators.encoding import FeatureFit, assemble, fit_pca
+from parcelwise.operators.ordering import rank_within
 from parcelwise.operators.selection import top_factors, top_features
 from parcelwise.operators.splits import chronological_position, fold_table
 from parcelwise.schemas import REQUEST_VECTOR
@@ -128,6 +131,66 @@ def test_partial_dependence_follows_the_signal(rows, model):
         explain.partial_dependence(model, rows, NAMES, "other")
 
 
+@pytest.mark.parametrize("kind", ["forest", "line"])
+def test_permutation_importance_equals_scored_copies_without_copying_rows(rows, fitted, kind, monkeypatch):
+    seen = []
+    monkeypatch.setattr(explain, "rank_within", lambda df, *rest: seen.append(df) or rank_within(df, *rest))
+    found = explain.permutation_importance(fitted[kind], rows, NAMES, ["id"])
+    assert "Generate explode(sequence" not in _plan(found)
+    numbered = rank_within(seen[0], [], ["__h", "id"], "__pos").select("id", "__pos")
+    full = numbered.join(rows, "id").select("__pos", "label", vector_to_array("features").alias("x")).collect()
+    place = {r["__pos"]: r for r in full}
+    x, y = (np.array([place[i + 1][c] for i in range(600)]) for c in ("x", "label"))
+    importance = {r["feature"]: r["importance"] for r in found.collect()}
+    predict = fitted[kind].predict
+    plain = np.mean([abs(predict(DenseVector(v)) - t) for v, t in zip(x, y)])
+    for i, name in enumerate(NAMES):
+        changed = x.copy()
+        changed[:, i] = np.roll(x[:, i], 300)
+        loss = np.mean([abs(predict(DenseVector(v)) - t) for v, t in zip(changed, y)])
+        assert importance[name] == pytest.approx(loss - plain, abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["forest", "line"])
+def test_attributions_equal_scored_steps_without_copying_rows(rows, fitted, kind):
+    asked = rows.filter("id % 100 = 7")
+    background = explain.background_rows(rows, ["id"], 3)
+    values = explain.attributions(fitted[kind], asked, NAMES, ["id"], background, permutations=2)
+    assert "Generate" not in _plan(values) and "Exchange" not in _plan(values)
+    predict, draw = (lambda v: fitted[kind].predict(DenseVector(v))), random.Random(42)
+    orders = [draw.sample(range(3), 3) for _ in range(3)]
+    found = {(r["id"], r["feature"]): r["value"] for r in values.collect()}
+    assert len(found) == 6 * 4
+    for r in asked.collect():
+        own = dict.fromkeys([*NAMES, "base_value"], 0.0)
+        for order, other in zip(orders, background):
+            at = list(other)
+            own["base_value"] += predict(at) / 3
+            for i in order:
+                before, at[i] = predict(at), r["features"][i]
+                own[NAMES[i]] += (predict(at) - before) / 3
+        assert own == pytest.approx({f: found[r["id"], f] for f in own}, abs=1e-9)
+
+
+def test_interaction_equals_scored_corners_without_copying_rows(rows, fitted):
+    background = explain.background_rows(rows, ["id"], 3)
+    asked = rows.filter("id % 100 = 7")
+    found = explain.interaction_strength(fitted["forest"], asked, NAMES, ["id"], ("size", "age"), background)
+    assert "Generate" not in _plan(found) and "Exchange" not in _plan(found)
+    strength = {r["id"]: r["interaction"] for r in found.collect()}
+
+    def predict(size, age, noise):
+        return fitted["forest"].predict(DenseVector([size, age, noise]))
+
+    for r in asked.collect():
+        size, age, noise = r["features"]
+        corners = [
+            predict(size, age, noise) - predict(o[0], age, noise) - predict(size, o[1], noise) + predict(o[0], o[1], noise)
+            for o in background
+        ]
+        assert strength[r["id"]] == pytest.approx(sum(corners) / 3, abs=1e-9)
+
+
 def test_attributions_add_up(rows, model):
     asked = rows.filter("id % 50 = 0")
     background = explain.background_rows(rows, ["id"], 8)
