@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.models.estimators import fit_spread
 from parcelwise.operators.admission import admissions
 from parcelwise.operators.drift import fit_drift_bins
 from parcelwise.plans.catalog import (
@@ -245,7 +246,7 @@ def k7_stream(spark, folder):
 
 @query("k8_stream_scoring")
 def k8(spark, folder):
-    model = _forest().fit(model_rows(spark, folder))
+    model = fit_spread(_forest(), model_rows(spark, folder))
     slices = sliced_files(sale_messages(spark, folder), "timestamp", SALE_CUTS, "json")
     parsed = ingest.parse_messages(messages_in(spark, slices))
     valid = parsed.filter(F.size("reasons") == 0).drop("reasons", "value")

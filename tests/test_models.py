@@ -5,12 +5,13 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from parcelwise.models import explain, scoring
+from parcelwise.models import estimators, explain, scoring
 from parcelwise.models.arrays import on_arrays
 from parcelwise.models.estimators import (
     compare_models,
@@ -56,6 +57,21 @@ def model(rows):
     return random_forest(numTrees=10, maxDepth=6, featureSubsetStrategy="all").fit(rows)
 
 
+def test_training_rows_are_dealt_by_number_and_not_kept_in_memory(spark, rows, monkeypatch):
+    monkeypatch.setattr(estimators, "TASK_ROWS", 20)
+    one = rows.coalesce(1)
+    assert estimators.spread(one).rdd.getNumPartitions() == 30
+    sizes = estimators.spread(one).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 600 and max(sizes) <= 40
+    levels, kind, persist = [], type(rows), type(rows).persist
+    monkeypatch.setattr(kind, "persist", lambda df, level=StorageLevel.MEMORY_AND_DISK: levels.append(level) or persist(df, level))
+    tiny = {"num_leaves": (2, 4), "n_estimators": (1, 2)}
+    random_search(one.filter("id < 500"), one.filter("id >= 500"), trials=2, ranges=tiny)
+    cross_validate(chronological_position(one, ["ts", "id"], "ts"), fold_table(600, 2), random_forest(numTrees=1, maxDepth=2))
+    compare_models({"forest": random_forest(numTrees=1, maxDepth=2)}, one, one)
+    assert levels and all(not level.useMemory for level in levels)
+
+
 def test_models_beat_the_mean(rows):
     train_rows, test_rows = rows.filter("id < 450"), rows.filter("id >= 450")
     boosted = fit_early_stopping(gradient_boosting(True, maxIter=30, stepSize=0.2, minInstancesPerNode=5), train_rows, test_rows)
