@@ -10,7 +10,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.models.estimators import predict_price
+from parcelwise.models.estimators import LABEL, predict_price, shared_rows
 from parcelwise.operators.metrics import fold_summary, regression_metrics
 from parcelwise.operators.splits import backtest_periods, period_rows
 
@@ -21,7 +21,7 @@ def cross_validate(
     df: DataFrame, folds: Sequence[tuple[int, int, int, int]], estimator: Estimator, position: str = "position"
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics per fold, summary over folds). Folds are position ranges; rows are not copied."""
-    data = df.persist()
+    data = shared_rows(df.select(position, "price", LABEL, "features"))
     try:
         parts = []
         for fold, train_end, start, end in folds:
@@ -47,11 +47,11 @@ def backtest(
     keep: Sequence[str] = ("price",),
 ) -> DataFrame:
     """Predictions of every test period by a model trained on all earlier rows."""
-    data = df.persist()
-    periods = backtest_periods(data, ts, start, end, frequency, min_train).orderBy("period").collect()
+    data = shared_rows(df.select(ts, LABEL, "features"))
+    periods = backtest_periods(df, ts, start, end, frequency, min_train).orderBy("period").collect()
     parts = []
     for p in periods:
-        train, test = period_rows(data, ts, p["period_start"], p["period_end"])
+        train, test = (period_rows(rows, ts, p["period_start"], p["period_end"])[i] for i, rows in enumerate((data, df)))
         scored = predict_price(estimator.fit(train), test)
         parts.append(
             scored.select(
