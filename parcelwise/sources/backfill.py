@@ -17,6 +17,9 @@ from parcelwise.scale import written
 
 DAY = "day"
 
+TASK_ROWS = 250_000
+"""Rows that one task sorts by day before it writes them."""
+
 
 def mark_of(spark: SparkSession, root: str) -> datetime | None:
     """Newest time that a backfill of this folder has finished, or None."""
@@ -25,6 +28,16 @@ def mark_of(spark: SparkSession, root: str) -> datetime | None:
     return marks.agg(F.max("mark")).first()[0]
 
 
+def dealt_by_day(batch: DataFrame, rows: int) -> DataFrame:
+    """A batch of so many rows with each day in one task, or in several if it has more than `TASK_ROWS`.
+
+    Rows are moved before they get their features, when they are narrow, and a day is written as few files."""
+    largest = batch.groupBy(DAY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    pieces = F.pmod(F.xxhash64(*[c for c in batch.columns if c != DAY]), F.lit(-(-largest // TASK_ROWS)))
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    return batch.repartition(max(cores, -(-rows // TASK_ROWS)), DAY, pieces)
+
+
 def backfill(rows: DataFrame, root: str, ts: str, fit: FeatureFit | None = None) -> int:
     """Bring the features in `root` up to the newest row; returns how many rows were written.
 
@@ -45,7 +58,7 @@ def backfill(rows: DataFrame, root: str, ts: str, fit: FeatureFit | None = None)
     if stored is None:
         save_features(fit or FeatureFit(exclude=("price", "property_id", ts, "created_at", DAY)).fit(batch), f"{root}/features")
         stored = load_features(spark, f"{root}/features")
-    features = stored.apply(batch)
+    features = stored.apply(dealt_by_day(batch, n))
     features.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(f"{root}/rows")
     mark = spark.range(1).select(F.lit(newest).cast("timestamp_ntz").alias("mark"))
     mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/mark/upto")

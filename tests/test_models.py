@@ -32,6 +32,7 @@ from parcelwise.operators.ordering import rank_within
 from parcelwise.operators.selection import top_factors, top_features
 from parcelwise.operators.splits import chronological_position, fold_table
 from parcelwise.schemas import REQUEST_VECTOR
+from parcelwise.sources import backfill as backfills
 from parcelwise.sources.backfill import backfill, backfilled, mark_of
 from parcelwise.sources.publish import read_tracking
 
@@ -408,3 +409,16 @@ def test_backfill_repeats_without_change(houses, spark, tmp_path):
     spark.range(1).select(F.lit(mark).cast("timestamp_ntz").alias("mark")).coalesce(1).write.mode("overwrite").parquet(f"{root}/mark/upto")
     assert backfill(later, root, "sale_date") > 0
     assert sorted(map(str, backfilled(spark, root).collect())) == first
+
+
+def test_backfill_writes_a_day_from_one_task_unless_it_is_large(houses, spark, tmp_path, monkeypatch):
+    def files(root):
+        return [len(list(day.glob("*.parquet"))) for day in (tmp_path / root / "rows").glob("day=*")]
+
+    many = houses.unionByName(houses.withColumn("property_id", F.col("property_id") + 10_000)).repartition(7)
+    backfill(many, str(tmp_path / "a"), "sale_date")
+    assert set(files("a")) == {1}
+    monkeypatch.setattr(backfills, "TASK_ROWS", 5)
+    day = many.withColumn("sale_date", F.lit("2020-06-01").cast("timestamp_ntz"))
+    n = backfill(day, str(tmp_path / "b"), "sale_date")
+    assert files("b")[0] > 1 and backfilled(spark, str(tmp_path / "b")).count() == n == many.count()
