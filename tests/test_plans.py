@@ -1,11 +1,13 @@
 """Plan shape of single operators. Rules for all queries are checked in test_queries.py."""
 
+import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
 
 from compare import TESTDATA, plan
 from parcelwise.plans import QUERIES
 from parcelwise.scale import fresh_path, lookup_side, shared_folder
+from parcelwise.session import COMPILED_METHODS, DEFAULTS
 
 FOLDER = f"{TESTDATA}/sf0.001"
 def test_only_admission_runs_python(spark):
@@ -75,3 +77,12 @@ def test_a_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         shared_folder(Cluster)
+
+
+def test_wide_projections_run_in_methods_that_are_compiled(spark):
+    """Longer methods stay in HotSpot's interpreter, which made the widest stages several times slower."""
+    name, limit = COMPILED_METHODS
+    assert DEFAULTS[name] == limit
+    spark.conf.set(name, "65535")
+    __spark_entry__.queries()["e6_assembled_vector"](spark, FOLDER)
+    assert spark.conf.get(name) == limit
