@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, BooleanType, DataType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, LongType, StructField, StructType
 
 from parcelwise.models.scoring import score_requests
 from parcelwise.operators.admission import admit
@@ -69,71 +70,91 @@ def stream_scores(requests: DataFrame, model: Model, scale: RobustScale | None =
 
 
 class Admission(StatefulProcessor):
-    """Per key: the calls that wait for the watermark, and the admission times of the last window.
+    """Per bucket of keys: the calls that wait for the watermark, and each key's admission times of the last window.
 
     A call is decided when the watermark has passed it, since no earlier one can then arrive. An event-time
-    timer stands at the earliest waiting call, or at the end of the window when none waits."""
+    timer stands at the earliest waiting call, or at the end of the window when none waits. State is read and
+    written once per bucket and batch: each access is a message to the JVM, which costs far more than a call."""
 
-    def __init__(self, columns: tuple[str, str, str], tie_type: DataType, limit: int, window: int):
-        self.columns, self.tie_type, self.limit, self.window = columns, tie_type, limit, window
+    def __init__(self, columns: tuple[str, str, str], types: tuple[DataType, DataType], limit: int, window: int):
+        self.columns, self.types, self.limit, self.window = columns, types, limit, window
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        call = StructType([StructField("t", LongType()), StructField("tie", self.tie_type)])
-        self.waiting = handle.getListState("waiting", call)
-        self.live = handle.getValueState("live", StructType([StructField("times", ArrayType(LongType()))]))
+        key_type, tie_type = self.types
+        name, time = StructField("key", key_type), StructField("t", LongType())
+        self.waiting = handle.getListState("waiting", StructType([name, time, StructField("tie", tie_type)]))
+        self.live = handle.getListState("live", StructType([name, time]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        _, time, tie = self.columns
-        first, passed = None, timerValues.getCurrentWatermarkInMs() * 1000
+        name, time, tie = self.columns
+        passed, calls = timerValues.getCurrentWatermarkInMs() * 1000, []
         for frame in rows:
-            calls = [c for c in zip(frame[time].tolist(), frame[tie].tolist(), strict=True) if c[0] > passed]
-            if calls:
-                self.waiting.appendList(calls)
-                first = min(calls[0][0] if first is None else first, *(t for t, _ in calls))
-        if first is not None:
-            self._wake(first, timerValues)
+            frame = frame[frame[time] > passed]
+            # The bucket of the null key holds no other, so that pandas keeps the type of all others.
+            names = [None] * len(frame) if key[0] == NULL_BUCKET else frame[name].tolist()
+            calls += zip(names, frame[time].tolist(), frame[tie].tolist(), strict=True)
+        if calls:
+            self.waiting.appendList(calls)
+            self._wake(min(t for _, t, _ in calls), timerValues)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        calls = sorted(self.waiting.get()) if self.waiting.exists() else []
-        due = [c for c in calls if c[0] <= passed]
-        rest = calls[len(due) :]
-        carried = list(self.live.get()[0]) if self.live.exists() else []
-        decisions, live = admit([t for t, _ in due], carried, self.limit, self.window)
+        due, rest, live, out = defaultdict(list), [], defaultdict(list), []
+        for name, t, tie in self.waiting.get():
+            if t <= passed:
+                due[name].append((t, tie))
+            else:
+                rest.append((name, t, tie))
+        for name, t in self.live.get():
+            live[name].append(t)
+        for name, calls in due.items():
+            calls.sort()
+            decisions, live[name] = admit([t for t, _ in calls], live[name], self.limit, self.window)
+            out += [(name, *call, admitted) for call, admitted in zip(calls, decisions, strict=True)]
+        # Calls to come are later than the watermark, so older admissions are outside of their windows.
+        kept = [(name, t) for name, times in live.items() for t in times if t + self.window > passed]
+        for state, rows in ((self.waiting, rest), (self.live, kept)):
+            if rows:
+                state.put(rows)
+            else:
+                state.clear()
         if rest:
-            self.waiting.put(rest)
-            self._wake(rest[0][0], timerValues)
-        else:
-            self.waiting.clear()
-        if rest or (live and live[-1] + self.window > passed):
-            self.live.update((live,))
-            if not rest:
-                self._wake(live[-1] + self.window, timerValues)
-        else:
-            self.live.clear()
-        if due:
-            name, time, tie = self.columns
-            columns = {name: [key[0]] * len(due), time: [t for t, _ in due], tie: [c for _, c in due]}
-            yield pd.DataFrame({**columns, "admitted": decisions})
+            self._wake(min(t for _, t, _ in rest), timerValues)
+        elif kept:
+            self._wake(max(t for _, t in kept) + self.window, timerValues)
+        if out:
+            yield pd.DataFrame(dict(zip((*self.columns, "admitted"), map(list, zip(*out, strict=True)), strict=True)))
 
     def _wake(self, micros: int, timerValues) -> None:
         self.handle.registerTimer(max(micros // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
 
 
+NULL_BUCKET = -1
+BUCKET = "__bucket"
+ADMISSION_BUCKETS = 1024
+"""Groups of keys that share a state; a key's calls all lie in one."""
+
 MICROS = "event_micros"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_admissions(
-    log: DataFrame, key: str, ts: str, tie: str, limit: int = 100, seconds: int = 60, delay: str = "10 minutes"
+    log: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    limit: int = 100,
+    seconds: int = 60,
+    delay: str = "10 minutes",
+    buckets: int = ADMISSION_BUCKETS,
 ) -> DataFrame:
     """Admission decisions on a stream, in event order whatever the order of arrival within `delay`.
 
-    A decision comes when the watermark has passed its call; calls behind the watermark are dropped. A key's
-    waiting calls and the admissions of its last window are its state. The session's state store is set to
-    RocksDB, which this kind of state needs."""
+    A decision comes when the watermark has passed its call; calls behind the watermark are dropped. The
+    waiting calls and the admissions of the last window of the keys in a bucket are its state. `buckets` may not
+    change over the life of a checkpoint. The session's state store is set to RocksDB, which this kind of state needs."""
     log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     kinds = {c: log.schema[c].dataType for c in (key, ts, tie)}
     out = StructType(
@@ -144,12 +165,13 @@ def stream_admissions(
             StructField("admitted", BooleanType()),
         ]
     )
+    bucket = F.when(F.col(key).isNull(), NULL_BUCKET).otherwise(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     decided = (
-        log.select(key, ts, tie, F.unix_micros(ts).alias(MICROS))
+        log.select(key, ts, tie, F.unix_micros(ts).alias(MICROS), bucket.alias(BUCKET))
         .withWatermark(ts, delay)
-        .groupBy(key)
+        .groupBy(BUCKET)
         .transformWithStateInPandas(
-            Admission((key, MICROS, tie), kinds[tie], limit, seconds * 1_000_000), out, "Append", "EventTime"
+            Admission((key, MICROS, tie), (kinds[key], kinds[tie]), limit, seconds * 1_000_000), out, "Append", "EventTime"
         )
     )
     return decided.select(key, F.timestamp_micros(MICROS).cast(kinds[ts]).alias(ts), tie, "admitted")

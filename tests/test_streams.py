@@ -104,6 +104,27 @@ def test_admission_state_crosses_batches(spark):
     assert {r["event_id"]: r["ts"] for r in found}[3] == START + timedelta(seconds=59)
 
 
+def test_keys_of_one_bucket_are_admitted_apart(spark):
+    """All keys share a state here, the null key has one of its own; each is walked on its own."""
+    def call(i, client, s):
+        return (i, client, START + timedelta(seconds=s), 200, 1.0)
+
+    steps = [
+        [call(1, 1, 0), call(2, 2, 5), call(3, None, 1)],
+        [call(4, 1, 10), call(5, 2, 70), call(6, None, 2), call(7, None, 3)],
+        [call(8, 1, 20), call(9, 2, 71), call(10, 2, 72), call(11, 1, 61)],
+        [(None, None, START + timedelta(days=1), None, None)],
+    ]
+    path = write_steps(spark, steps, LOG)
+    decided = monitors.stream_admissions(read_steps(spark, path, LOG), "client", "ts", "event_id", 2, 60, buckets=1)
+    rows, _ = drain_to_files(decided, "admit")
+    found = {r["event_id"]: (r["client"], r["admitted"]) for r in rows.collect() if r["event_id"] is not None}
+    assert found == {
+        1: (1, True), 2: (2, True), 3: (None, True), 4: (1, True), 5: (2, True), 6: (None, True),
+        7: (None, False), 8: (1, False), 9: (2, True), 10: (2, False), 11: (1, True),
+    }
+
+
 def test_latest_features_survive_compaction(spark, tmp_path):
     schema = "k STRING, ts TIMESTAMP_NTZ, v INT"
     steps = [[("a", START, 1), ("b", START, 1)], [("a", START + timedelta(days=2), 2)], [("a", START + timedelta(days=1), 9), ("c", START, 3)]]
