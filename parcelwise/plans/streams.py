@@ -29,7 +29,8 @@ from parcelwise.sources.sample_tables import feature_history, request_log, sales
 from parcelwise.streaming import ingest, monitors
 from parcelwise.streaming.sources import drain_to_files, file_messages
 
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_FILE = 250_000
+"""Compressed messages are read by one task per file."""
 
 
 @dataclass(frozen=True)
@@ -67,7 +68,8 @@ def sliced_files(
     for part in parts:
         writer = part.drop("__arrival").write.mode("append").format(kind)
         if kind == "json":
-            writer = writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+            # Messages repeat their field names, so that plain text is many times as long.
+            writer = writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").option("compression", "gzip")
         writer.save(path)
     return Slices(path, files)
 

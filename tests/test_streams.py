@@ -6,9 +6,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from compare import TESTDATA
+from parcelwise.plans.streams import SALE_CUTS, sale_messages, sliced_files
 from parcelwise.scale import fresh_path
 from parcelwise.streaming import ingest, monitors
-from parcelwise.streaming.sources import LateRows, drain_to_files, file_messages, late_rows
+from parcelwise.streaming.sources import MESSAGE_SCHEMA, LateRows, drain_to_files, file_messages, late_rows
 
 START = datetime(2024, 1, 1)
 LOG = "event_id BIGINT, client INT, ts TIMESTAMP, status INT, latency_ms DOUBLE"
@@ -125,6 +127,18 @@ def test_keys_of_one_bucket_are_admitted_apart(spark):
     }
 
 
+def test_message_slices_are_compressed_and_whole(spark):
+    """Plain JSON made up most of the bytes that the message queries write."""
+    messages = sale_messages(spark, f"{TESTDATA}/sf0.001")
+    slices = sliced_files(messages, "timestamp", SALE_CUTS, "json")
+    files = spark.read.format("binaryFile").load(slices.path).select("path", "length").collect()
+    assert len(files) == slices.files * (len(SALE_CUTS) + 1)
+    plain = messages.agg(F.sum(F.octet_length("value"))).first()[0]
+    assert all(f["path"].endswith(".json.gz") for f in files) and sum(f["length"] for f in files) < plain / 3
+    back = spark.read.schema(MESSAGE_SCHEMA).json(slices.path)
+    assert back.exceptAll(messages.select(back.columns)).count() == 0 and back.count() == messages.count()
+
+
 def test_latest_features_survive_compaction(spark, tmp_path):
     schema = "k STRING, ts TIMESTAMP_NTZ, v INT"
     steps = [[("a", START, 1), ("b", START, 1)], [("a", START + timedelta(days=2), 2)], [("a", START + timedelta(days=1), 9), ("c", START, 3)]]
