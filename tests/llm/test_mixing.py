@@ -177,3 +177,35 @@ def test_odd_rows(spark):
     assert [r.held_out for r in nothing] == [True]
     assert (nothing[0].n_known, nothing[0].train_tokens, nothing[0].base_score) == (0, 0, 0.0)
     assert mixing.score_documents(docs.limit(0), held_out(folds=7)).count() == 0
+
+
+def test_mixed_choices_of_all_words_sum_to_one():
+    """Every known word is reached through mixed bits, whatever the weights."""
+    rng = np.random.default_rng(5)
+    count = np.sort(rng.zipf(1.3, 300).clip(1, 5000))[::-1]
+    kind = mixing.class_of(count)
+    sums = np.bincount(kind, count, mixing.CLASSES)
+    ranks = mixing.Ranks.of(np.bincount(kind, minlength=mixing.CLASSES), sums)
+    assert ranks.known == 300 and ranks.before(np.array(300)) == count.sum()
+    keys = np.concatenate([np.arange(300) + (k << 32) for k in (0, 7, 300)])
+    total = rng.poisson(np.tile(count / 200, 3)) * (keys >> 32 < 300)
+    below = np.stack([np.concatenate(([0], np.cumsum(n))) for n in (total, total > 0)])
+    weights, refined = rng.normal(0.5, 0.2, (mixing.GATES, 4)), rng.uniform(0.01, 0.99, 256 * mixing.REFINE_STEPS)
+    found = mixing.choices(keys, total, below, np.arange(len(keys)), ranks, 0)
+    mixed = mixing._mixed(found.inputs, found.gate, weights)
+    slot, share = mixing._refine_at(mixed, found.node)
+    p = (mixing._squash(mixed) + refined[slot] * (1 - share) + refined[slot + 1] * share) / 2
+    logs = np.bincount(found.pair, np.log10(np.where(found.bit, p, 1 - p))[found.which], len(keys)) + found.rest
+    assert len(found.bit) > 300 and np.allclose((10**logs).reshape(3, 300).sum(axis=1), 1)
+    # Left out of its own counts, a pair seen once after a word seen once is left to order 0.
+    alone = mixing.choices(keys[:300], np.eye(300, dtype=int)[9], np.stack([np.cumsum(np.eye(301)[10])] * 2), np.array([9]), ranks, 1)
+    assert len(alone.pair) == 0 and alone.rest[0] < -1
+
+
+def test_packed_pairs_come_back():
+    rng = np.random.default_rng(6)
+    from parcelwise.llm.tables import packer
+
+    keys = np.unique(rng.integers(0, 50, 2000) << 32 | rng.integers(0, 400, 2000))
+    for own in (keys, keys[:1], keys[:0]):
+        assert (mixing.unpacked_keys(mixing.packed_keys(own, packer()), unpacker()) == own).all()
