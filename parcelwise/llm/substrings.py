@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parcelwise.llm.tables import compressed, packer, stored, text_bytes, uncompressed, unpacker
+from parcelwise.llm.tables import compressed, freeing, packer, stored, text_bytes, uncompressed, unpacker
 from parcelwise.scale import written
 
 WINDOW, PHRASE = 50, 20
@@ -147,7 +147,7 @@ def phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
             columns = [h[start].view(np.int64), chunk[start], ids[start], ids[end]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "chunk", "lo", "hi"])
 
-    return docs.mapInArrow(sample, "h long, chunk long, lo long, hi long")
+    return docs.mapInArrow(freeing(sample), "h long, chunk long, lo long, hi long")
 
 
 class Chunk:
@@ -359,12 +359,12 @@ def remove_repeats(
         copies.select("chunk", F.lit(None).cast("long"), "doc_id")
     )
     rows = dealt.select("chunk", "doc_id", compressed(F.col("text")).alias("frame"))
-    found = rows.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(_find(window, phrase), FOUND)
+    found = rows.groupBy("chunk").cogroup(notes.groupBy("chunk")).applyInArrow(freeing(_find(window, phrase)), FOUND)
     found = stored(found, "occurrences")
     windows = found.where("w1 is not null").select("chunk", "w1", "w2", "doc_id")
     smallest = F.min("doc_id").over(Window.partitionBy("w1", "w2"))
     taken = windows.withColumn("least", smallest).where("least < doc_id").select("chunk", "w1", "w2")
     held = found.where("done = false").select("chunk", "doc_id", "frame")
-    cut = held.groupBy("chunk").cogroup(taken.groupBy("chunk")).applyInArrow(_cut(window), CUT)
+    cut = held.groupBy("chunk").cogroup(taken.groupBy("chunk")).applyInArrow(freeing(_cut(window)), CUT)
     everything = cut.union(found.where("done = true").select("doc_id", "n_words", "n_removed", "frame"))
     return everything.select("doc_id", "n_words", "n_removed", uncompressed(F.col("frame")).alias("kept"))

@@ -90,3 +90,14 @@ def test_windows_are_looked_up_by_both_halves():
     taken = set(zip(a.tolist(), b.tolist()))
     assert substrings._among(w1, w2, a[order], b[order]).tolist() == [p in taken for p in zip(w1.tolist(), w2.tolist())]
     assert not substrings._among(w1, w2, a[:0], b[:0]).any()
+
+
+def test_memory_is_given_back_after_each_group(monkeypatch):
+    from parcelwise.llm import tables
+
+    calls = []
+    monkeypatch.setattr(tables, "give_back", lambda: calls.append(1))
+    assert list(tables.freeing(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3]
+    assert tables.freeing(lambda own, known: own - known)(5, 2) == 3
+    assert tables.freeing(lambda key, own, known: (key, own, known))(1, 2, 3) == (1, 2, 3)
+    assert len(calls) == 3
