@@ -100,3 +100,38 @@ def test_tables_with_long_repeated_and_clashing_rows(spark):
         r, (lang, score) = got[i], own.best(text)
         assert (r.text, r.chunk, r.rest, bytes(r.frame), r.lang_pred) == (text, "c", f"r{i}", b"f", lang)
         assert abs(r.score - score) < 1e-6
+
+
+def test_many_chunks_and_buckets_back_off_like_the_model(spark, monkeypatch):
+    """The training texts are dealt to fewer buckets than the judged ones, so the lists are dealt again."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    training = docs.where("doc_id % 9 = 0").select("text", "lang")
+    own = language.Scorer(language.learn(training, 10**9))
+    monkeypatch.setattr(language, "BUCKET_BYTES", 20_000)
+    tables = language.count_tables(training)
+    judged = language.judged(docs, tables, chunk_bytes=30_000)
+    assert tables.bits > 0 and language.bucket_bits(docs.selectExpr("sum(octet_length(text))").first()[0]) > tables.bits
+    rows = judged.select("row.*", "lang_pred", "score").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect())
+    for r in rows:
+        lang, score = own.best(r.text)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-6
+
+
+def test_texts_that_are_not_wanted_are_not_written(spark, monkeypatch):
+    """Copies of texts, exchanged and written, were most of the disk."""
+    import os
+    import tempfile
+
+    from parcelwise import scale
+
+    folder = tempfile.mkdtemp(prefix="language-")
+    monkeypatch.setattr(scale, "shared_folder", lambda spark: folder)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    size = docs.selectExpr("sum(octet_length(text))").first()[0]
+    tables = language.count_tables(docs.where(~language.held_out()).select("text", "lang"))
+    found = language.identify(docs, tables, keep_text=False)
+    assert found.columns == ["doc_id", "lang", "lang_pred", "score"]
+    assert found.count() == docs.count()
+    files = [os.path.join(at, f) for at, _, names in os.walk(folder) for f in names]
+    assert 0 < sum(map(os.path.getsize, files)) < 0.55 * size
