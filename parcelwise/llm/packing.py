@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parcelwise.llm.ranking import rank_in_class
+from parcelwise.llm.tables import give_back
 from parcelwise.scale import written
 
 CAPACITY = 4096
@@ -136,6 +137,8 @@ def token_pieces(
                 [*parts, pa.array(ids, pa.binary())], ["piece", "start", "length", "ids"]
             )
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        del ids_of
+        give_back()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.explode(cut(text)).alias("p")).select("doc_id", "p.*")
 

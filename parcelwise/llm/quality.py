@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.llm.tables import freeing, give_back
+
 SAMPLE = 4000
 """Labelled rows the regression is fitted on, at most."""
 
@@ -217,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         rest = [[model.bias, model.slope, model.shift]]
         return pa.table({"weights": [model.weights.tobytes()], "rest": rest})
 
-    found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "weights binary, rest array<double>").collect()
+    found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(freeing(train), "weights binary, rest array<double>").collect()
     if not found:
         return None
     return Model(np.frombuffer(found[0].weights, np.float32).reshape(FAMILIES, -1), *found[0].rest)
@@ -242,6 +244,8 @@ def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, te
             yield pa.StructArray.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
+        known.clear()
+        give_back()
 
     found = docs.withColumn("__c", count(F.col(text)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

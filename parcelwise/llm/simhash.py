@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.llm.components import components
-from parcelwise.llm.tables import compressed, uncompressed
+from parcelwise.llm.tables import compressed, freeing, give_back, uncompressed
 from parcelwise.scale import written
 
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -70,6 +70,7 @@ def fingerprint(text: Column) -> Column:
         for texts in batches:
             values = texts.cast(pa.binary())
             yield pa.array([fingerprint_of(v.as_py() or b"") for v in values], pa.int64())
+        give_back()
 
     return prints(text)
 
@@ -103,7 +104,7 @@ def points(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
                     columns = [point.ravel().view(np.int64), np.repeat(fp, len(flips)).view(np.int64)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["point", "fp"])
 
-    return prints.select("fp").mapInArrow(emit, "point long, fp long")
+    return prints.select("fp").mapInArrow(freeing(emit), "point long, fp long")
 
 
 def local_links(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +171,7 @@ def meeting(met: DataFrame, radius: int, bucket: int | None) -> DataFrame:
         if bucket is not None and len(carry[0]) > 1:
             yield _links(*map(list, zip(local_links(carry[1], radius), strict=True)))
 
-    return met.mapInArrow(link, "a long, b long")
+    return met.mapInArrow(freeing(link), "a long, b long")
 
 
 def _bounded(point, fp, start, radius, bucket) -> tuple[list[np.ndarray], list[np.ndarray]]:

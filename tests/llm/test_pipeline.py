@@ -84,3 +84,26 @@ def test_texts_under_one_id_are_cut_on_their_own(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], TABLE)
     stage = dict(corpus_pipeline.STAGES)["substring_dedup"]
     assert sorted(r.text for r in stage(spark, docs, SMALL).collect()) == sorted([rows[0][1], texts[1], texts[2]])
+
+
+def test_python_steps_give_memory_back(spark, monkeypatch):
+    """Idle Python workers count against their executor's memory, whatever stage they last worked for."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from parcelwise.llm import packing, simhash, tables
+
+    steps, freed, real = [], [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda fn: steps.append(fn) or real(kind)(fn))
+    for module in (packing, quality, simhash, tables):
+        monkeypatch.setattr(module, "give_back", lambda: freed.append(1))
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    docs.select(simhash.fingerprint(F.col("text")), tables.uncompressed(tables.compressed(F.col("text"))))
+    quality.judge(docs, None)
+    packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    texts = pa.array(["one two three", None, ""])
+    frames = pa.array([tables.packer()(b"one"), tables.packer()(b"")], pa.binary())
+    assert len(steps) == 5
+    for step in steps:
+        assert list(step(iter([frames if step.__name__ == "unpack" else texts])))
+    assert len(freed) == 5
