@@ -209,3 +209,23 @@ def test_packed_pairs_come_back():
     keys = np.unique(rng.integers(0, 50, 2000) << 32 | rng.integers(0, 400, 2000))
     for own in (keys, keys[:1], keys[:0]):
         assert (mixing.unpacked_keys(mixing.packed_keys(own, packer()), unpacker()) == own).all()
+
+
+def test_only_choices_that_a_pair_makes():
+    """A choice from counts without the pair itself and one with it are both there only if pairs make both."""
+    rng = np.random.default_rng(3)
+    counts = np.sort(rng.integers(1, 50, 40))[::-1]
+    kind = mixing.class_of(counts)
+    ranks = mixing.Ranks.of(np.bincount(kind, minlength=mixing.CLASSES), np.bincount(kind, counts, mixing.CLASSES).astype(np.int64))
+    keys = np.unique((rng.integers(0, 12, 150) << 32) | rng.integers(0, 40, 150)).astype(np.int64)
+    total = rng.integers(1, 4, len(keys))
+    below = np.stack([np.concatenate(([0], np.cumsum(n))) for n in (total, total > 0)])
+    for itself in (0, 1):
+        for own in (np.arange(len(keys)), np.arange(30, 60), np.array([7])):
+            found = mixing.choices(keys, total, below, own, ranks, itself)
+            assert sorted(set(found.which.tolist())) == list(range(len(found.bit)))
+            alone = [mixing.choices(keys, total, below, own[i : i + 1], ranks, itself) for i in range(len(own))]
+            for i, single in enumerate(alone):
+                made = found.which[found.pair == i]
+                assert np.array_equal(found.inputs[:, made], single.inputs) and np.array_equal(found.gate[made], single.gate)
+                assert np.array_equal(found.bit[made], single.bit) and found.rest[i] == single.rest[0]
