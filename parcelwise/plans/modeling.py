@@ -13,7 +13,7 @@ from parcelwise.models import scoring
 from parcelwise.models.estimators import (
     compare_models,
     evaluate,
-    fit_early_stopping,
+    fit_patient,
     fit_spread,
     gradient_boosting,
     importance_table,
@@ -194,7 +194,7 @@ def m5_predictions(spark, folder):
 @query("m6_gradient_boosting")
 def m6(spark, folder):
     train_rows, val_rows = _by_date(model_rows(spark, folder))
-    model = fit_early_stopping(gradient_boosting(True, maxIter=10, maxDepth=3), train_rows, val_rows)
+    model = fit_patient(gradient_boosting(maxIter=1000, maxDepth=8), train_rows, val_rows)
     return evaluate(model, val_rows)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.models import estimators
 from parcelwise.models.boosting import fit_all, follows, thresholds
-from parcelwise.models.estimators import compare_models, gradient_boosting
+from parcelwise.models.estimators import best_round, compare_models, evaluate, fit_patient, gradient_boosting
 from parcelwise.plans import modeling
 
 
@@ -71,6 +71,26 @@ def test_what_spark_refuses_is_refused(spark, rows):
     assert not follows(gradient_boosting(True)) and not follows(gradient_boosting(lossType="absolute"))
 
 
+def test_best_round_waits_for_patience():
+    assert best_round([5.0, 4.0, 4.5, 4.4, 3.0, 9.0], 3) == 5
+    assert best_round([5.0, 4.0, 4.5, 4.4, 3.0, 9.0], 2) == 2
+    assert best_round([float("nan")] * 4, 2) == 4
+
+
+@pytest.mark.parametrize("task_rows", [10_000, 10])
+def test_early_stopping_keeps_all_rounds_up_to_the_best(spark, rows, monkeypatch, task_rows):
+    """Small steps bring less than one percent each, at which Spark's own rule ends after the first tree."""
+    monkeypatch.setattr(estimators, "TASK_ROWS", task_rows)
+    train, val = rows.filter("id < 500"), rows.filter("id >= 500")
+    model = fit_patient(gradient_boosting(maxIter=24, stepSize=0.002, maxDepth=4, subsamplingRate=1.0), train, val, patience=6)
+    assert model.getNumTrees == 24
+    noise = frame(spark, 400, signal=0.0)
+    train, val = noise.filter("id < 300"), noise.filter("id >= 300")
+    fast = gradient_boosting(maxIter=40, stepSize=0.5, maxDepth=5, minInstancesPerNode=1, subsamplingRate=1.0)
+    stopped = fit_patient(fast, train, val, patience=4)
+    whole = next(fit_all([fast], train)).evaluateEachIteration(val, "absolute")
+    assert stopped.getNumTrees == best_round(whole, 4) < 40
+    assert evaluate(stopped, val).first()["n"] == 100
 
 
 
@@ -91,6 +111,8 @@ def fits(monkeypatch):
     monkeypatch.setattr(modeling, "model_rows", lambda spark, folder: None)
     monkeypatch.setattr(modeling, "_by_date", lambda rows: ("train", "later"))
     monkeypatch.setattr(modeling, "compare_models", lambda models, *rows: asked.update(models))
+    monkeypatch.setattr(modeling, "fit_patient", lambda estimator, *rows, **o: asked.update(boosted=estimator, **o))
+    monkeypatch.setattr(modeling, "evaluate", lambda model, rows: None)
     return asked
 
 
@@ -99,3 +121,10 @@ def test_model_comparison_fits_whole_models(spark, fits):
     modeling.m21(spark, "")
     assert (fits["boosted"].getMaxIter(), fits["boosted"].getMaxDepth()) == (500, 5)
     assert (fits["forest"].getNumTrees(), fits["forest"].getMaxDepth()) == (200, 15)
+
+
+def test_gradient_boosting_may_take_a_thousand_rounds(spark, fits):
+    """1000 rounds of some 255 leaves at most, and 50 rounds of patience by default."""
+    modeling.m6(spark, "")
+    assert (fits["boosted"].getMaxIter(), fits["boosted"].getMaxDepth()) == (1000, 8)
+    assert fits.get("patience", 50) == 50
