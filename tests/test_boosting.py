@@ -7,9 +7,10 @@ import pytest
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from parcelwise.models import estimators
+from parcelwise.models import boosting, estimators, tuning
 from parcelwise.models.boosting import fit_all, follows, thresholds
 from parcelwise.models.estimators import best_round, compare_models, evaluate, fit_patient, gradient_boosting
+from parcelwise.models.tuning import SEARCH_RANGES, random_search, sample_params
 from parcelwise.plans import modeling
 
 
@@ -93,6 +94,22 @@ def test_early_stopping_keeps_all_rounds_up_to_the_best(spark, rows, monkeypatch
     assert evaluate(stopped, val).first()["n"] == 100
 
 
+def test_search_runs_every_round_of_every_trial(rows, monkeypatch):
+    ranges = {"num_leaves": (4, 8), "n_estimators": (20, 30)}
+    train, val = rows.filter("id < 500"), rows.filter("id >= 500")
+    grown = []
+    monkeypatch.setattr(
+        tuning, "fit_all", lambda wanted, df: (grown.append(m.getNumTrees) or m for m in boosting.fit_all(wanted, df))
+    )
+    best, trials = random_search(train, val, trials=3, ranges=ranges)
+    drawn = sample_params(3, ranges=ranges)
+    assert grown == [p["maxIter"] for p in drawn]
+    found = [r["value"] for r in trials.orderBy("trial").collect()]
+    assert best == drawn[int(np.argmin(found))]
+    # Beyond the rows of a task Spark's learner does the same with draws of its own.
+    _, spread = random_search(train, val, trials=3, ranges=ranges, max_rows=100)
+    assert np.allclose(found, [r["value"] for r in spread.orderBy("trial").collect()], rtol=0.2)
+
 
 def test_comparison_grows_the_trees_asked_for(rows, monkeypatch):
     sizes = []
@@ -113,6 +130,7 @@ def fits(monkeypatch):
     monkeypatch.setattr(modeling, "compare_models", lambda models, *rows: asked.update(models))
     monkeypatch.setattr(modeling, "fit_patient", lambda estimator, *rows, **o: asked.update(boosted=estimator, **o))
     monkeypatch.setattr(modeling, "evaluate", lambda model, rows: None)
+    monkeypatch.setattr(modeling, "random_search", lambda *rows, **o: asked.update(search=o) or (None, None))
     return asked
 
 
@@ -128,3 +146,11 @@ def test_gradient_boosting_may_take_a_thousand_rounds(spark, fits):
     modeling.m6(spark, "")
     assert (fits["boosted"].getMaxIter(), fits["boosted"].getMaxDepth()) == (1000, 8)
     assert fits.get("patience", 50) == 50
+
+
+def test_search_draws_from_the_whole_ranges(spark, fits):
+    modeling.m9(spark, "")
+    assert fits["search"] == {}
+    drawn = sample_params(20)
+    low, high = SEARCH_RANGES["n_estimators"]
+    assert len(drawn) == 20 and all(low <= p["maxIter"] <= high and p["maxDepth"] >= 5 for p in drawn)
