@@ -79,7 +79,8 @@ def train(df: DataFrame, settings: TrainingSettings) -> TrainingResult:
     # The scaled column replaces nothing here: price and label come from before scaling.
     train_rows, val_rows = ready.filter(at < val_at), ready.filter((at >= val_at) & (at < test_at))
     test_rows = ready.filter(at >= test_at)
-    best, trials = random_search(train_rows, val_rows, s.trials, ranges=s.search)
+    # The final model is one of Spark's learner; its draws decide between the trials too.
+    best, trials = random_search(train_rows, val_rows, s.trials, ranges=s.search, max_rows=0)
     folds, summary = cross_validate(ready, fold_table(n, s.folds), gradient_boosting(**best))
     model = fit_early_stopping(gradient_boosting(early_stop=True, **best), train_rows, val_rows)
     tested = evaluate(model, test_rows)
